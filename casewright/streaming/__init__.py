@@ -1,0 +1,5 @@
+"""Intentionally empty: the inventory has no streaming operator.
+
+Every row-wise transform in ``casewright.functions`` is a plain ``Column`` expression, so it can be
+used unchanged on a streaming DataFrame.
+"""
