@@ -47,9 +47,10 @@ def null_safe_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how:
 
 
 def attach_global(df: DataFrame, one_row: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Put the values of a one-row aggregate on every row, as scalar subqueries (no join)."""
+    """Put the values of a one-row aggregate on every row, as one scalar subquery (no join)."""
     names = list(columns or one_row.columns)
-    return df.withColumns({name: one_row.select(name).scalar() for name in names})
+    packed = one_row.select(F.struct(*names).alias("packed")).scalar()
+    return df.withColumns({name: packed[name] for name in names})
 
 
 def assign(

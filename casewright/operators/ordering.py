@@ -20,8 +20,8 @@ def _placed(df: DataFrame, order: Sequence[ColumnLike]) -> DataFrame:
         keys = [as_column(c) for c in order]
         df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     return staged(
-        df.withColumn("_part", F.spark_partition_id()).withColumn(
-            "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_MASK))
+        df.withColumn("_cw_part", F.spark_partition_id()).withColumn(
+            "_cw_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_MASK))
         )
     )
 
@@ -32,12 +32,12 @@ def _with_offsets(placed: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
     The offsets have one row per partition, so the single-task window over them and the broadcast
     are bounded by the partition count, not by the data.
     """
-    per_part = placed.groupBy("_part").agg(*[total.alias(name) for name, total in sums.items()])
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = placed.groupBy("_cw_part").agg(*[total.alias(name) for name, total in sums.items()])
+    before = Window.orderBy("_cw_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(
-        "_part", *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums]
+        "_cw_part", *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums]
     )
-    return placed.join(F.broadcast(offsets), "_part")
+    return placed.join(F.broadcast(offsets), "_cw_part")
 
 
 def with_global_rank(df: DataFrame, order: Sequence[ColumnLike], name: str) -> DataFrame:
@@ -46,9 +46,9 @@ def with_global_rank(df: DataFrame, order: Sequence[ColumnLike], name: str) -> D
     ``order`` should end in a unique key: it makes the result repeatable and lets the range
     partitioning cut through long runs of equal scores.
     """
-    ranked = _with_offsets(_placed(df, order), {"_offset": F.count(F.lit(1))})
-    position = (F.col("_offset") + F.col("_pos") + 1).cast("bigint")
-    return ranked.withColumn(name, position).drop("_part", "_pos", "_offset")
+    ranked = _with_offsets(_placed(df, order), {"_cw_offset": F.count(F.lit(1))})
+    position = (F.col("_cw_offset") + F.col("_cw_pos") + 1).cast("bigint")
+    return ranked.withColumn(name, position).drop("_cw_part", "_cw_pos", "_cw_offset")
 
 
 def with_row_id(df: DataFrame, order_by: Sequence[ColumnLike] | None = None, name: str = "entity_id") -> DataFrame:
@@ -65,11 +65,11 @@ def with_running_totals(df: DataFrame, order: Sequence[ColumnLike], totals: Mapp
     """Running sum (current row included) of columns in global order: ``{new_name: column}``."""
     offset = {f"_before_{name}": F.sum(column) for name, column in totals.items()}
     placed = _with_offsets(_placed(df, order), offset)
-    window = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    window = Window.partitionBy("_cw_part").orderBy("_cw_pos").rowsBetween(Window.unboundedPreceding, 0)
     summed = placed.withColumns(
         {name: F.col(f"_before_{name}") + F.sum(column).over(window) for name, column in totals.items()}
     )
-    return summed.drop("_part", "_pos", *offset)
+    return summed.drop("_cw_part", "_cw_pos", *offset)
 
 
 def priority_rank(df: DataFrame, score: str, tie: str, extra: Sequence[ColumnLike] = ()) -> DataFrame:
