@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casewright.functions.expressions import ColumnLike, as_column
 from casewright.functions.reasons import describe_names, is_sensitive, reason_of
 from casewright.operators.joins import attach_global
 from casewright.vocabulary import OTHER_FEATURE, OTHER_REASON
@@ -81,10 +82,10 @@ def _sort_key(contribution: Column, positive_first: bool) -> list[Column]:
 
 
 def top_reasons_wide(
-    df: DataFrame, contributions: Mapping[str, str], keep: Sequence[str], k: int = 3,
+    df: DataFrame, contributions: Mapping[str, ColumnLike], keep: Sequence[str], k: int = 3,
     positive_first: bool = True, all_features: bool = False,
 ) -> DataFrame:
-    """Top ``k`` distinct reasons per row, from contribution columns ``{feature name: column}``.
+    """Top ``k`` distinct reasons per row, from contributions ``{feature name: column}``.
 
     Everything happens inside the row (no explode, no shuffle). Positive contributions come first,
     then the rest by size; sensitive and unmapped features are skipped unless ``all_features``.
@@ -93,7 +94,7 @@ def top_reasons_wide(
     for name, reason, sensitive in describe_names(list(contributions)):
         if not all_features and (sensitive or reason == OTHER_REASON):
             continue
-        part = F.col(contributions[name])
+        part = as_column(contributions[name])
         entry = F.struct(
             *_sort_key(part, positive_first), F.lit(name).alias("feature"), F.lit(reason).alias("reason")
         )
@@ -128,6 +129,15 @@ def top_reasons(
     return gathered.select(key, *_reason_columns(_pick_distinct(F.col("_candidates"), k)))
 
 
+def top_reasons_array(
+    df: DataFrame, names: Sequence[str], keep: Sequence[str], array: str = "contributions", k: int = 3,
+    positive_first: bool = True, all_features: bool = False,
+) -> DataFrame:
+    """Top reasons from an array of contributions, one entry per model feature in ``names`` order."""
+    columns = {name: F.get(array, i) for i, name in enumerate(names)}
+    return top_reasons_wide(df, columns, keep, k, positive_first, all_features)
+
+
 def waterfall(contributions: DataFrame, key: str, base: float) -> DataFrame:
     """Contributions per entity by size, with the running total that starts at the base value."""
     order = [F.abs("contribution").desc_nulls_last(), F.col("feature").asc()]

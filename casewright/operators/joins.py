@@ -111,12 +111,14 @@ def recommend_interventions(
         F.sort_array(F.collect_list(F.struct((-F.col("success_rate")).alias("order"), *fields))).alias("c")
     )
     fitting = F.filter(
-        ranked.scalar(),
+        F.col("_catalog"),
         lambda item: (item["risk_score_threshold"] <= F.col(risk) + F.lit(risk_slack))
         & (item["financial_stress_level"] <= F.col(stress) + F.lit(stress_slack)),
     )
     return (
-        entities.select(key, risk, stress, F.slice(fitting, 1, k).alias("fit"))
+        entities.select(key, risk, stress)
+        .withColumn("_catalog", ranked.scalar())
+        .select(key, risk, stress, F.slice(fitting, 1, k).alias("fit"))
         .select(key, risk, stress, F.posexplode("fit").alias("pos", "item"))
         .select(
             key, risk, stress,

@@ -173,9 +173,10 @@ def linear_vector_contributions(
     """``coef * (x - mean)`` per vector position, as an array column; ``rows`` are transformed rows."""
     coefficients = [float(c) for c in model.stages[-1].coefficients.toArray()]
     means = background.agg(vector_to_array(Summarizer.mean(F.col("features"))).alias("m")).scalar()
-    centred = F.zip_with(vector_to_array("features"), means, lambda v, m: v - m)
     weights = F.array(*[F.lit(c) for c in coefficients])
-    return rows.withColumn(name, F.zip_with(centred, weights, lambda v, c: v * c))
+    centred = F.zip_with(vector_to_array("features"), F.col("_means"), lambda v, m: v - m)
+    with_means = rows.withColumn("_means", means)
+    return with_means.withColumn(name, F.zip_with(centred, weights, lambda v, c: v * c)).drop("_means")
 
 
 def save_model(model: PipelineModel, path: str) -> str:
