@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from casewright.operators.explain import linear_contributions, top_reasons_wide
 from casewright.operators.fairness import fairness_audit
 from casewright.operators.joins import audit_frame
-from casewright.operators.queue import intervention_queue
+from casewright.operators.queue import decisions, intervention_queue
 from casewright.plans.features import Entity, Money, Period, composite_risk, feature_table
 from casewright.session import staged
 
@@ -137,10 +137,52 @@ AS_OF = "2024-01-31 00:00:00"
 
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: features, score, explanation, audit, decision and global rank for every entity."""
-    scored = staged(scored_rows(spark, sf_dir).select(
-        "entity_id", "risk_score", "predicted", "actual", "gender", "financial_segment", "scholar",
-        *[c for c in COEFFICIENTS if c != "gender"],
-    ))
+    scored = staged(score_columns(scored_rows(spark, sf_dir)))
     return intervention_queue(
         scored, explanations(scored), audit(scored), F.lit(AS_OF).cast("timestamp")
     )
+
+
+def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue without its global rank, for reports that do not read it."""
+    scored = staged(score_columns(scored_rows(spark, sf_dir)))
+    return decisions(scored, explanations(scored), audit(scored), F.lit(AS_OF).cast("timestamp"))
+
+
+def score_columns(scored: DataFrame) -> DataFrame:
+    """What scoring hands on: id, score, decision, outcome, audited attributes and model features."""
+    return scored.select(
+        "entity_id", "risk_score", "predicted", "actual", "target", "gender", "financial_segment", "scholar",
+        *[c for c in COEFFICIENTS if c != "gender"],
+    )
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows from labelled texts: language and source as groups, length as the decision."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return documents.select("doc_id", "lang", "source", "n_chars").join(labels, "doc_id").select(
+        "doc_id", "lang", "source",
+        F.col("quality").alias("actual"),
+        F.when(F.col("n_chars") >= 600, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def send_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert log from the event stream: an error event plays a delivered alert."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("entity_id"),
+        F.concat(F.lit("team"), F.col("event_id") % 7, F.lit("@example.org")).alias("counselor_email"),
+        F.when(F.col("event_type") == "error", "sent").otherwise("failed").alias("sent_status"),
+        F.col("ts").alias("sent_ts"),
+    )
+
+
+def teams(queue: DataFrame) -> DataFrame:
+    """Assignments: seven teams, one of them without an address, some not active."""
+    team = F.col("entity_id") % 7
+    return queue.select(
+        "entity_id",
+        F.concat(F.lit("Team "), team).alias("counselor_name"),
+        F.when(team != 3, F.concat(F.lit("team"), team, F.lit("@example.org"))).alias("counselor_email"),
+        F.when(F.col("entity_id") % 11 == 0, 0).when(F.col("entity_id") % 2 == 0, 1).alias("active_flag"),
+    )
