@@ -9,7 +9,7 @@ from casewright.functions import messages
 from casewright.operators.explain import long_contributions
 from casewright.plans import features as f
 from casewright.plans.checks.registry import check
-from casewright.plans.checks.sql import CONTRIB, FEAT, SCORED, SUBJ
+from casewright.plans.checks.sql import CONTRIB, FEAT, SCORED, SUBJ, half_up, risk
 from casewright.plans.proxy import (
     COEFFICIENTS, FIRST, MONEY, QUANTILE_ERROR, SECOND, SUBJECT, entity_table, explained_rows,
     feature_rows, score_columns, scored_rows, subjects, table,
@@ -173,7 +173,7 @@ def feature_table(spark, sf_dir):
     )
 
 
-HORIZON = SUBJ + """,
+HORIZON = SUBJ + f""",
 cs AS (
   SELECT course, round(avg(grade1), 2) AS course_avg_grade_sem1,
     round(avg((grade1 + grade2) / 2), 2) AS course_avg_grade_overall,
@@ -191,14 +191,14 @@ h0 AS (
     round(eval1 / nullif(enr1, 0), 4) AS sem1_evaluation_rate,
     round(100.0 * appr2 / nullif(enr2, 0), 2) AS sem2_approval_rate,
     round(100.0 * (appr1 + appr2) / nullif(enr1 + enr2, 0), 2) AS overall_approval_rate,
-    round((grade1 + grade2) / 2, 2) AS avg_grade, round(grade2 - grade1, 2) AS sem_grade_trend,
+    {half_up('(grade1 + grade2) / 2', 2)} AS avg_grade, {half_up('grade2 - grade1', 2)} AS sem_grade_trend,
     appr2 - appr1 AS sem_approval_trend, noeval1 AS sem1_absenteeism, noeval2 AS sem2_absenteeism,
     noeval1 + noeval2 AS total_absenteeism,
     CASE WHEN eval2 = 0 AND enr2 > 0 THEN 1 ELSE 0 END AS is_ghosting_sem2,
     CAST(app_order = 1 AS INTEGER) AS is_primary_choice,
     CASE WHEN course_avg_grade_sem1 < g25 THEN 1 ELSE 0 END AS is_high_rigor_course,
-    round(grade1 - course_avg_grade_sem1, 2) AS student_vs_course_gap_sem1,
-    round(admission - course_avg_grade_sem1, 2) AS admission_vs_course_gap,
+    {half_up('grade1 - course_avg_grade_sem1', 2)} AS student_vs_course_gap_sem1,
+    {half_up('admission - course_avg_grade_sem1', 2)} AS admission_vs_course_gap,
     CAST(target = 'Dropout' AS INTEGER) AS target_binary,
     CASE target WHEN 'Dropout' THEN 0 WHEN 'Enrolled' THEN 1 ELSE 2 END AS target_multiclass
   FROM subj JOIN cs ON cs.course IS NOT DISTINCT FROM subj.course, q),
@@ -206,12 +206,8 @@ h AS (
   SELECT h0.*, sem1_evaluation_rate AS commitment_ratio_sem1,
     financial_stress_index * is_high_rigor_course AS financial_stress_x_rigor,
     CASE WHEN grade1 < 10 AND sem1_absenteeism > 2 THEN 1 ELSE 0 END AS low_grade_high_absence_sem1,
-    round(CAST(financial_stress_index AS DOUBLE) * 0.25 + coalesce(CAST(sem1_absenteeism AS DOUBLE), 0) * 0.15
-      + (1 - coalesce(sem1_approval_rate, 100) / 100) * 0.30
-      + CASE WHEN grade1 < 10 THEN CAST(0.2 AS DOUBLE) ELSE 0 END + CAST(is_high_rigor_course AS DOUBLE) * 0.10, 4) AS dropout_risk_sem1,
-    round(CAST(financial_stress_index AS DOUBLE) * 0.25 + coalesce(CAST(total_absenteeism AS DOUBLE), 0) * 0.15
-      + (1 - coalesce(overall_approval_rate, 100) / 100) * 0.30
-      + CASE WHEN avg_grade < 10 THEN CAST(0.2 AS DOUBLE) ELSE 0 END + CAST(is_high_rigor_course AS DOUBLE) * 0.10, 4) AS dropout_risk_full
+    {risk('sem1_absenteeism', 'coalesce(sem1_approval_rate, 100)', 'grade1', 'is_high_rigor_course')} AS dropout_risk_sem1,
+    {risk('total_absenteeism', 'coalesce(overall_approval_rate, 100)', 'avg_grade', 'is_high_rigor_course')} AS dropout_risk_full
   FROM h0)"""
 VIEW_BASE = ["entity_id", "course", "debtor", "paid", "scholar", "enr1", "appr1", "eval1", "noeval1", "target"]
 

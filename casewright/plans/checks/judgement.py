@@ -9,7 +9,7 @@ from casewright.functions.reasons import base_feature, is_sensitive
 from casewright.operators import explain, fairness, learning, metrics, statistics, treeshap
 from casewright.plans.checks.registry import check
 from casewright.plans.checks.sql import (
-    AUDIT, AUDITED, CONTRIB, REASONS, SCORED, SUBJ, TOP, in_list, parity_cte, rates_cte,
+    AUDIT, AUDITED, CONTRIB, REASONS, SCORED, SUBJ, TOP, half_up, in_list, parity_cte, rates_cte,
 )
 from casewright.plans.proxy import (
     COEFFICIENTS, MODEL_NAMES, audit, explained_rows, explanations, feature_rows,
@@ -109,14 +109,14 @@ def sensitive_features(spark, sf_dir):
 
 
 @check("waterfall", f"""WITH {CONTRIB} SELECT entity_id, feature, round(value, 4) AS value, round(contribution, 4) AS contribution,
-  row_number() OVER w AS step, round(0.5 + sum(contribution) OVER (w ROWS UNBOUNDED PRECEDING), 4) AS running_total
+  row_number() OVER w AS step, {half_up('0.5 + sum(contribution) OVER (w ROWS UNBOUNDED PRECEDING)', 4)} AS running_total
   FROM contrib WINDOW w AS (PARTITION BY entity_id ORDER BY abs(contribution) DESC NULLS LAST, feature)""")
 def waterfall(spark, sf_dir):
     rows = explain.waterfall(long_rows(spark, sf_dir), "entity_id", 0.5)
     return rows.withColumns({"value": F.round("value", 4), "contribution": F.round("contribution", 4)})
 
 
-@check("contribution_pct", f"""WITH {CONTRIB} SELECT entity_id, feature, round(contribution / risk_score * 100, 2) AS contribution_pct FROM contrib""")
+@check("contribution_pct", f"""WITH {CONTRIB} SELECT entity_id, feature, {half_up('contribution / risk_score * 100', 2)} AS contribution_pct FROM contrib""")
 def contribution_pct(spark, sf_dir):
     return explain.contribution_pct(long_rows(spark, sf_dir), "risk_score").select("entity_id", "feature", "contribution_pct")
 

@@ -9,7 +9,7 @@ from casewright.operators import alerts, joins, statistics
 from casewright.operators.explain import long_contributions
 from casewright.operators.ordering import priority_rank, quantile, top_n, with_running_totals
 from casewright.plans.checks.registry import check
-from casewright.plans.checks.sql import CATALOG, CONTRIB, FEAT, REASONS, SCORED, SUBJ, TOP
+from casewright.plans.checks.sql import CATALOG, CONTRIB, FEAT, REASONS, SCORED, SUBJ, TOP, half_up
 from casewright.plans.proxy import (
     AS_OF, COEFFICIENTS, MODEL_NAMES, QUANTILE_ERROR, decided, entity_table, explained_rows, explanations,
     feature_rows, periods, score_columns, scored_rows, send_log, subjects, table, teams,
@@ -135,9 +135,9 @@ PARTIAL = f"""WITH {CONTRIB}, {REASONS}, names AS (
   SELECT CASE feature WHEN 'gender' THEN 'cat__gender_1' ELSE 'num__' || feature END AS raw, count(*) AS n
   FROM contrib GROUP BY 1 UNION ALL
   SELECT 'cat__' || replace(lower(o_orderstatus), 'f', 'course') || '_' || (o_custkey % 9) AS raw, count(*) FROM orders GROUP BY 1),
-base AS (SELECT raw, n, regexp_replace(regexp_replace(lower(raw), '^(num|cat)__', ''), '_[0-9]+$', '') AS name FROM names),
+stripped AS (SELECT raw, n, regexp_replace(regexp_replace(lower(raw), '^(num|cat)__', ''), '_[0-9]+$', '') AS name FROM names),
 hits AS (SELECT raw, n, name, reason, ordinal, CASE WHEN key = name THEN 0 ELSE 1 END AS kind
-  FROM base LEFT JOIN reasons ON name <> '' AND (contains(name, key) OR contains(key, name)))"""
+  FROM stripped LEFT JOIN reasons ON name <> '' AND (contains(name, key) OR contains(key, name)))"""
 
 
 @check("map_reasons", PARTIAL + """ SELECT raw, n, coalesce(reason, 'Other model risk signal') AS reason FROM hits
@@ -357,7 +357,7 @@ def register_alerts():
     body = (
         "'Hello ' || counselor_name || ',' || chr(10) || chr(10) || "
         "'This is an automated student risk alert generated from the dropout monitoring workflow.' || chr(10) || chr(10) || "
-        "'Student ID: ' || entity_id || chr(10) || 'Risk score: ' || printf('%.3f', risk_score) || chr(10) || "
+        f"'Student ID: ' || entity_id || chr(10) || 'Risk score: ' || printf('%.3f', {half_up('risk_score', 3)}) || chr(10) || "
         "'Recommended action: ' || recommended_action || chr(10) || 'Top reasons:' || chr(10) || "
         "'1. ' || top_risk_factor_1 || chr(10) || '2. ' || top_risk_factor_2 || chr(10) || '3. ' || top_risk_factor_3 || "
         "chr(10) || chr(10) || 'Queue timestamp: 2024-01-31 00:00:00' || chr(10) || chr(10) || "
@@ -366,7 +366,7 @@ def register_alerts():
 
     @check("outbox_rows", f"""WITH {QUEUE}, {TEAMS}, {RECENT}, {PENDING}
       SELECT entity_id, counselor_email, risk_score, recommended_action, top_risk_factor_1, top_risk_factor_2,
-        top_risk_factor_3, printf('Student Risk Alert: Student %d score %.3f', entity_id, risk_score) AS alert_subject,
+        top_risk_factor_3, printf('Student Risk Alert: Student %d score %.3f', entity_id, {half_up('risk_score', 3)}) AS alert_subject,
         {body} AS alert_body, 'pending' AS sent_status, CAST(NULL AS VARCHAR) AS sent_error,
         TIMESTAMP '2024-01-31 00:00:00' AS sent_ts FROM pending""")
     def outbox_rows(spark, sf_dir):

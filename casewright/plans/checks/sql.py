@@ -16,6 +16,11 @@ def in_list(values) -> str:
     return "(" + ", ".join(quoted(v) for v in values) + ")"
 
 
+def half_up(value: str, digits: int) -> str:
+    """Rounding on the printed decimal digits, half away from zero, as Spark's ``round`` does it."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 def values_table(name: str, columns: str, rows) -> str:
     body = ",\n ".join("(" + ", ".join(quoted(v) for v in row) + ")" for row in rows)
     return f"{name}({columns}) AS (VALUES {body})"
@@ -92,17 +97,23 @@ feat AS (
          ELSE 'improving_or_mixed' END AS academic_momentum_band
   FROM feat0)"""
 
-SCORED = FEAT + """,
+RISK = """CAST(financial_stress_index AS DOUBLE) * 0.25
+      + coalesce(CAST({absences} AS DOUBLE), 0) * 0.15
+      + (1 - {approval} / 100) * 0.30
+      + CASE WHEN {grade} < 10 THEN CAST(0.2 AS DOUBLE) ELSE 0 END
+      + CAST({rigor} AS DOUBLE) * 0.10"""
+
+
+def risk(absences: str, approval: str, grade: str, rigor: str) -> str:
+    return half_up(RISK.format(absences=absences, approval=approval, grade=grade, rigor=rigor), 4)
+
+
+SCORED = FEAT + f""",
 scored AS (
   SELECT feat.*, r.risk_score, CAST(r.risk_score >= 0.5 AS INTEGER) AS predicted,
     CAST(target = 'Dropout' AS INTEGER) AS actual
   FROM feat JOIN (
-    SELECT entity_id, least(1.0, round(
-      CAST(financial_stress_index AS DOUBLE) * 0.25
-      + coalesce(CAST(absenteeism_index AS DOUBLE), 0) * 0.15
-      + (1 - round(overall_approval_ratio * 100, 2) / 100) * 0.30
-      + CASE WHEN overall_grade_avg < 10 THEN CAST(0.2 AS DOUBLE) ELSE 0 END
-      + CAST(grade_deflation_flag AS DOUBLE) * 0.10, 4)) AS risk_score
+    SELECT entity_id, least(1.0, {risk('absenteeism_index', half_up('overall_approval_ratio * 100', 2), 'overall_grade_avg', 'grade_deflation_flag')}) AS risk_score
     FROM feat) r USING (entity_id))"""
 
 REASONS = values_table(
