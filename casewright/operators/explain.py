@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from casewright.functions.expressions import ColumnLike, as_column
 from casewright.functions.reasons import describe_names, is_sensitive, reason_of
-from casewright.operators.joins import attach_global
+from casewright.operators.joins import attach_global, null_safe_lookup
 from casewright.vocabulary import OTHER_FEATURE, OTHER_REASON
 
 
@@ -24,13 +24,16 @@ def feature_means(df: DataFrame, features: Sequence[str], digits: int | None = 6
 def linear_contributions(
     df: DataFrame, coefficients: Mapping[str, float], background: DataFrame | None = None, digits: int | None = 6
 ) -> DataFrame:
-    """Exact contributions of a linear model: ``coef * (x - mean)`` in columns ``contrib_<feature>``."""
+    """Exact contributions of a linear model: ``coef * (x - mean)`` in columns ``contrib_<feature>``.
+
+    Only the one-row means are rounded (to ``digits``), so that reruns order the features alike.
+    """
     names = list(coefficients)
     with_means = attach_global(df, feature_means(background if background is not None else df, names, digits))
-    parts = {}
-    for name, coef in coefficients.items():
-        part = F.lit(float(coef)) * (F.col(name).cast("double") - F.col(f"_mean_{name}"))
-        parts[f"contrib_{name}"] = part if digits is None else F.round(part, digits)
+    parts = {
+        f"contrib_{name}": F.lit(float(coef)) * (F.col(name).cast("double") - F.col(f"_mean_{name}"))
+        for name, coef in coefficients.items()
+    }
     return with_means.withColumns(parts).drop(*[f"_mean_{n}" for n in names])
 
 
@@ -56,23 +59,9 @@ def long_contributions(df: DataFrame, features: Sequence[str], keep: Sequence[st
     return df.select(*keep, F.inline(rows))
 
 
-def _pick_distinct(candidates: Column, k: int) -> list[Column]:
-    """First ``k`` entries of a sorted array with different reasons."""
-    picked = []
-    for _ in range(k):
-        head = F.try_element_at(candidates, F.lit(1))
-        picked.append(head)
-        candidates = _without_reason(candidates, head["reason"])
-    return picked
-
-
-def _without_reason(candidates: Column, reason: Column) -> Column:
-    return F.filter(candidates, lambda c: c["reason"] != reason)
-
-
-def _reason_columns(picked: Sequence[Column]) -> list[Column]:
-    raw = [F.coalesce(p["feature"], F.lit(OTHER_FEATURE)).alias(f"raw_feature_{i}") for i, p in enumerate(picked, 1)]
-    text = [F.coalesce(p["reason"], F.lit(OTHER_REASON)).alias(f"factor_{i}") for i, p in enumerate(picked, 1)]
+def _reason_columns(picked: Sequence[tuple[Column, Column]]) -> list[Column]:
+    raw = [F.coalesce(name, F.lit(OTHER_FEATURE)).alias(f"raw_feature_{i}") for i, (name, _) in enumerate(picked, 1)]
+    text = [F.coalesce(reason, F.lit(OTHER_REASON)).alias(f"factor_{i}") for i, (_, reason) in enumerate(picked, 1)]
     return raw + text
 
 
@@ -81,30 +70,66 @@ def _sort_key(contribution: Column, positive_first: bool) -> list[Column]:
     return [tier.alias("tier"), (-F.abs(contribution)).alias("weight")]
 
 
+def _usable(names: Sequence[str], all_features: bool) -> tuple[list[str], list[str], dict[str, str]]:
+    """Feature names in reverse order, the reasons in use, and the reason of each usable feature."""
+    reason_by_name = {
+        name: reason for name, reason, sensitive in describe_names(names)
+        if all_features or not (sensitive or reason == OTHER_REASON)
+    }
+    return sorted(reason_by_name, reverse=True), list(dict.fromkeys(reason_by_name.values())), reason_by_name
+
+
+def _entry(contribution: Column, positive_first: bool, place: Column, reason: Column) -> Column:
+    """Sorts highest first: positive before the rest, then size, then the alphabetically first name."""
+    positive = F.when(contribution > 0, 1).otherwise(0) if positive_first else F.lit(0)
+    return F.struct(
+        positive.alias("positive"), F.abs(contribution).alias("size"), place.alias("place"), reason.alias("reason")
+    )
+
+
+def _literals(values: Sequence[object]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+# Above this many features the generated code of the in-row form gets too long for the JIT.
+IN_ROW_LIMIT = 24
+
+
 def top_reasons_wide(
     df: DataFrame, contributions: Mapping[str, ColumnLike], keep: Sequence[str], k: int = 3,
     positive_first: bool = True, all_features: bool = False,
 ) -> DataFrame:
     """Top ``k`` distinct reasons per row, from contributions ``{feature name: column}``.
 
-    Everything happens inside the row (no explode, no shuffle). Positive contributions come first,
-    then the rest by size; sensitive and unmapped features are skipped unless ``all_features``.
+    Everything happens inside the row: no explode, no shuffle. Features that share a reason are reduced
+    to their best one, then one small sort gives the order: positive contributions first, then the rest
+    by size. Sensitive and unmapped features are skipped unless ``all_features``.
     """
-    entries = []
-    for name, reason, sensitive in describe_names(list(contributions)):
-        if not all_features and (sensitive or reason == OTHER_REASON):
-            continue
+    if len(contributions) > IN_ROW_LIMIT:
+        packed = df.select(*keep, F.array(*map(as_column, contributions.values())).alias("_contributions"))
+        return top_reasons_array(packed, list(contributions), keep, "_contributions", k, positive_first, all_features)
+    names, reasons, reason_by_name = _usable(list(contributions), all_features)
+    if not names:
+        return df.select(*keep, *_reason_columns([(F.lit(None).cast("string"),) * 2] * k))
+    by_reason: dict[str, list[Column]] = {}
+    for place, name in enumerate(names):
+        reason = reason_by_name[name]
         part = as_column(contributions[name])
-        entry = F.struct(
-            *_sort_key(part, positive_first), F.lit(name).alias("feature"), F.lit(reason).alias("reason")
-        )
-        entries.append(F.when(part.isNotNull(), entry))
-    if not entries:
-        blank = F.lit(None).cast("struct<feature:string,reason:string>")
-        return df.select(*keep, *_reason_columns([blank] * k))
-    candidates = F.sort_array(F.array_compact(F.array(*entries)))
-    sorted_once = df.select(*keep, candidates.alias("_candidates"))
-    return sorted_once.select(*keep, *_reason_columns(_pick_distinct(F.col("_candidates"), k)))
+        entry = _entry(part, positive_first, F.lit(place), F.lit(reasons.index(reason)))
+        by_reason.setdefault(reason, []).append(F.when(part.isNotNull(), entry))
+    best = [F.greatest(*entries) if len(entries) > 1 else entries[0] for entries in by_reason.values()]
+    ordered = df.select(*keep, F.sort_array(F.array(*best), asc=False).alias("_sorted"))
+    chosen = [F.get("_sorted", F.lit(i)) for i in range(k)]
+    return ordered.select(*keep, *_reason_columns([
+        (F.get(_literals(names), c["place"]), F.get(_literals(reasons), c["reason"])) for c in chosen
+    ]))
+
+
+def map_reasons(df: DataFrame, feature: str = "feature") -> DataFrame:
+    """(feature, reason, sensitive) for the distinct feature names of a column."""
+    return df.select(feature).distinct().withColumns(
+        {"reason": reason_of(feature), "sensitive": is_sensitive(feature)}
+    )
 
 
 def top_reasons(
@@ -112,30 +137,54 @@ def top_reasons(
 ) -> DataFrame:
     """Top ``k`` distinct reasons per entity from long rows (key, feature, contribution).
 
-    The best row per (entity, reason) is kept first, with map-side combine, so what is gathered per
-    entity is bounded by the number of reasons in the vocabulary.
+    Names are mapped once per distinct feature, not once per row. The best row per (entity, reason) is
+    kept first, with map-side combine, so what is gathered per entity is bounded by the number of
+    reasons in the vocabulary.
     """
-    rows = contributions.where(F.col("contribution").isNotNull()).withColumn("reason", reason_of("feature"))
+    reasons = map_reasons(contributions)
+    rows = null_safe_lookup(contributions.where(F.col("contribution").isNotNull()), reasons, ["feature"], "inner")
     if not all_features:
-        rows = rows.where((F.col("reason") != OTHER_REASON) & ~is_sensitive("feature"))
+        rows = rows.where((F.col("reason") != OTHER_REASON) & ~F.col("sensitive"))
     best = rows.groupBy(key, "reason").agg(
         F.min(F.struct(*_sort_key(F.col("contribution"), positive_first), "feature")).alias("best")
     )
     gathered = best.groupBy(key).agg(
         F.sort_array(
             F.collect_list(F.struct("best.tier", "best.weight", "best.feature", "reason"))
-        ).alias("_candidates")
+        ).alias("_sorted")
     )
-    return gathered.select(key, *_reason_columns(_pick_distinct(F.col("_candidates"), k)))
+    chosen = [(F.get("_sorted", F.lit(i))["feature"], F.get("_sorted", F.lit(i))["reason"]) for i in range(k)]
+    return gathered.select(key, *_reason_columns(chosen))
 
 
 def top_reasons_array(
     df: DataFrame, names: Sequence[str], keep: Sequence[str], array: str = "contributions", k: int = 3,
     positive_first: bool = True, all_features: bool = False,
 ) -> DataFrame:
-    """Top reasons from an array of contributions, one entry per model feature in ``names`` order."""
-    columns = {name: F.get(array, i) for i, name in enumerate(names)}
-    return top_reasons_wide(df, columns, keep, k, positive_first, all_features)
+    """Top reasons from an array of contributions, one entry per model feature in ``names`` order.
+
+    For wide models: the code stays short however many features there are.
+    """
+    ordered_names, reasons, reason_by_name = _usable(names, all_features)
+    places = _literals([ordered_names.index(n) if n in reason_by_name else -1 for n in names])
+    numbers = _literals([reasons.index(reason_by_name[n]) if n in reason_by_name else -1 for n in names])
+    entries = F.transform(
+        F.col(array), lambda c, i: F.when(c.isNotNull(), _entry(c, positive_first, F.get(places, i), F.get(numbers, i)))
+    )
+    usable = F.filter(entries, lambda e: e["place"] >= 0)
+    picked = df.select(*keep, F.sort_array(usable, asc=False).alias("_rest"))
+    for i in range(k):
+        picked = picked.withColumn(f"_pick{i}", F.get("_rest", F.lit(0)))
+        picked = picked.withColumn("_rest", _other_reasons(F.col("_rest"), F.col(f"_pick{i}.reason")))
+    chosen = [F.col(f"_pick{i}") for i in range(k)]
+    return picked.select(*keep, *_reason_columns([
+        (F.get(_literals(ordered_names or [None]), c["place"]).cast("string"),
+         F.get(_literals(reasons or [None]), c["reason"]).cast("string")) for c in chosen
+    ]))
+
+
+def _other_reasons(entries: Column, reason: Column) -> Column:
+    return F.filter(entries, lambda e: e["reason"] != reason)
 
 
 def waterfall(contributions: DataFrame, key: str, base: float) -> DataFrame:

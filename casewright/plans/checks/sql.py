@@ -129,7 +129,7 @@ CONTRIB = SCORED + ",\nmeans AS (SELECT " + ", ".join(
     f"round(avg({c}), 6) AS m_{c}" for c in COEFFICIENTS
 ) + " FROM scored),\nexplained AS (SELECT * FROM scored WHERE predicted = 1),\ncontrib AS (\n" + "\nUNION ALL\n".join(
     f"  SELECT entity_id, risk_score, '{c}' AS feature, CAST({c} AS DOUBLE) AS value, "
-    f"round(CAST({w} AS DOUBLE) * (CAST({c} AS DOUBLE) - m_{c}), 6) AS contribution FROM explained, means"
+    f"CAST({w} AS DOUBLE) * (CAST({c} AS DOUBLE) - m_{c}) AS contribution FROM explained, means"
     for c, w in COEFFICIENTS.items()
 ) + ")"
 

@@ -15,6 +15,11 @@ def local_session(cores: str = "8", partitions: int = 8) -> SparkSession:
         .appName("casewright")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # One input file is one map task here. Exchanging anything but small lookups, and not reading
+        # exchanges locally, spreads what follows over all cores.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
+        .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
