@@ -26,27 +26,38 @@ def _literal_pairs(mapping: Sequence[tuple[str, str]]) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("reason")) for k, v in mapping])
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, although inner lambdas use it for every key."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def reason_of(column: ColumnLike, mapping: Sequence[tuple[str, str]] = FEATURE_REASONS) -> Column:
     """Reason for a feature name: exact key, else the first key that contains it or is contained in it.
 
     An empty or missing name has no reason.
     """
-    name = base_feature(column)
     pairs = _literal_pairs(mapping)
-    exact = F.try_element_at(F.filter(pairs, lambda p: p["key"] == name), F.lit(1))["reason"]
-    partial = F.try_element_at(
-        F.filter(pairs, lambda p: F.contains(name, p["key"]) | F.contains(p["key"], name)), F.lit(1)
-    )["reason"]
-    return F.when(name != "", F.coalesce(exact, partial, F.lit(OTHER_REASON))).otherwise(OTHER_REASON)
+
+    def lookup(name: Column) -> Column:
+        exact = F.get(F.filter(pairs, lambda p: p["key"] == name), F.lit(0))["reason"]
+        partial = F.get(
+            F.filter(pairs, lambda p: F.contains(name, p["key"]) | F.contains(p["key"], name)), F.lit(0)
+        )["reason"]
+        return F.when(name != "", F.coalesce(exact, partial, F.lit(OTHER_REASON))).otherwise(OTHER_REASON)
+
+    return _bound(base_feature(column), lookup)
 
 
 def attribute_of(column: ColumnLike, mapping: Sequence[tuple[str, str]] = FEATURE_REASONS) -> Column:
     """The longest known attribute that the name equals or extends with ``_``; else the name itself."""
-    name = base_feature(column)
     keys = sorted({k for k, _ in mapping} | set(SENSITIVE_FEATURES), key=lambda k: (-len(k), k))
     known = F.array(*[F.lit(k) for k in keys])
-    matches = F.filter(known, lambda k: (name == k) | F.startswith(name, F.concat(k, F.lit("_"))))
-    return F.coalesce(F.try_element_at(matches, F.lit(1)), name)
+
+    def lookup(name: Column) -> Column:
+        matches = F.filter(known, lambda k: (name == k) | F.startswith(name, F.concat(k, F.lit("_"))))
+        return F.coalesce(F.get(matches, F.lit(0)), name)
+
+    return _bound(base_feature(column), lookup)
 
 
 def is_sensitive(column: ColumnLike, sensitive: Sequence[str] = SENSITIVE_FEATURES) -> Column:
