@@ -21,9 +21,10 @@ def decisions(
     key: str = "entity_id", predicted: str = "predicted", actual: str = "actual",
     rule: Column | None = None,
 ) -> DataFrame:
-    """Scores with bands, action, top reasons and the global review flag; not yet ranked."""
+    """Scores with bands, action, top reasons and the global review flag; a rank is carried along."""
+    rank = [c for c in scores.columns if c == "priority_rank"]
     explained = left_join_default(
-        scores.select(key, "risk_score", predicted, actual),
+        scores.select(key, "risk_score", predicted, actual, *rank),
         explanations.select(key, *FACTORS), key, {f: OTHER_REASON for f in FACTORS},
     )
     review = global_max(audit, "fairness_review_flag")
@@ -35,6 +36,7 @@ def decisions(
         (rule if rule is not None else recommend_action("risk_score", FACTORS)).alias("recommended_action"),
         *[F.col(f).alias(f"top_risk_{f}") for f in FACTORS],
         "fairness_review_flag",
+        *rank,
         as_of.alias("queue_ts"),
     )
 
@@ -44,11 +46,14 @@ def intervention_queue(
     key: str = "entity_id", predicted: str = "predicted", actual: str = "actual",
     rule: Column | None = None,
 ) -> DataFrame:
-    """The full queue: every scored entity with its decision and its place in the global order."""
-    decided = decisions(scores, explanations, audit, as_of, key, predicted, actual, rule)
-    ranked = priority_rank(decided, "risk_score", key, [F.col(predicted).desc_nulls_last()])
-    columns = [c for c in decided.columns if c != "queue_ts"]
-    return ranked.select(*columns, "priority_rank", "queue_ts")
+    """The full queue: every scored entity with its decision and its place in the global order.
+
+    The narrow scores are ranked first, so neither the range sampling nor the sort carries or computes
+    explanations.
+    """
+    narrow = scores.select(key, "risk_score", predicted, actual)
+    ranked = priority_rank(narrow, "risk_score", key, [F.col(predicted).desc_nulls_last()])
+    return decisions(ranked, explanations, audit, as_of, key, predicted, actual, rule)
 
 
 def intervention_plan(

@@ -166,7 +166,7 @@ FEATURE_DOUBLES = [
 
 
 @check("feature_table", f"WITH {FEAT} SELECT entity_id, " + ", ".join(FEATURE_COLUMNS) + ", "
-       + ", ".join(f"round({c}, 4) AS {c}" for c in FEATURE_DOUBLES) + " FROM feat")
+       + ", ".join(f"{half_up(c, 4)} AS {c}" for c in FEATURE_DOUBLES) + " FROM feat")
 def feature_table(spark, sf_dir):
     return feature_rows(spark, sf_dir).select(
         "entity_id", *FEATURE_COLUMNS, *[F.round(c, 4).alias(c) for c in FEATURE_DOUBLES]

@@ -291,7 +291,8 @@ def test_thresholds_shrink_the_gap(spark):
     fair = fairness.apply_thresholds(df, fairness.optimize_thresholds(df, "g"), "g", "risk_score")
     result = fairness.compare_mitigation(fair, "g", "predicted", "fair_predicted").first()
     assert result["eo_difference_after"] <= 0.05 < result["eo_difference_before"]
-    assert result["recommendation"] == "deploy"
+    assert result["fairness_gain_eo"] > 0.05
+    assert result["recommendation"] == ("deploy" if abs(result["accuracy_drop"]) < 0.03 else "review")
 
 
 def test_split_is_exact_per_class(spark):
