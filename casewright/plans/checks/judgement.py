@@ -209,7 +209,7 @@ PROTECTED = ["gender", "age"]
 def prepared(spark, sf_dir):
     rows = feature_rows(spark, sf_dir).withColumn("actual", F.when(F.col("target") == "Dropout", 1).otherwise(0))
     parts = staged(learning.stratified_split(rows, "actual", "entity_id"))
-    train = learning.class_weights(parts.where(F.col("is_test") == 0), "actual")
+    train = staged(learning.class_weights(parts.where(F.col("is_test") == 0), "actual"))
     columns = learning.ml_columns(parts, CATEGORIES, OUTSIDE_MODEL, PROTECTED)
     return parts, train, columns, learning.build_preprocessor(train, columns)
 

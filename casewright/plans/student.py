@@ -144,7 +144,7 @@ def train_and_score(
     spark = feature_rows.sparkSession
     columns = learning.ml_columns(feature_rows, CATEGORICAL, NOT_FEATURES, SENSITIVE_FEATURES)
     parts = staged(learning.stratified_split(feature_rows, "target_dropout", KEY))
-    train = learning.class_weights(parts.where(F.col("is_test") == 0), "target_dropout")
+    train = staged(learning.class_weights(parts.where(F.col("is_test") == 0), "target_dropout"))
     test = parts.where(F.col("is_test") == 1)
     stages = learning.build_preprocessor(train, columns)
     models = {
