@@ -7,11 +7,14 @@ The integrand is a polynomial, so a few Gauss-Legendre nodes integrate it exactl
 
 from __future__ import annotations
 
+import sys
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,9 @@ from pyspark.sql import functions as F
 from casewright.session import staging_root
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class Leaf(NamedTuple):
     """Features on the path, the interval each must lie in, their cover ratios, and the leaf value."""
 
@@ -31,8 +37,6 @@ class Leaf(NamedTuple):
 
 def forest_nodes(spark: SparkSession, forest) -> list[dict]:
     """Node rows per tree. Their number is bounded by the model size, not by the data."""
-    import uuid
-
     path = f"{staging_root(spark)}/forest-{uuid.uuid4().hex}"
     forest.write().save(path)
     rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
@@ -80,21 +84,24 @@ def tree_leaves(nodes: dict[int, object], positive: int = 1) -> list[Leaf]:
     return leaves
 
 
-def leaf_contributions(leaf: Leaf, matrix: np.ndarray, out: np.ndarray) -> None:
+def leaf_contributions(
+    features: np.ndarray, low: np.ndarray, high: np.ndarray, cover: np.ndarray, value: float,
+    matrix: np.ndarray, out: np.ndarray,
+) -> None:
     """Add one leaf's contributions for all rows; rows with the same match pattern share the work."""
-    m = len(leaf.features)
+    m = len(features)
     if m == 0:
         return
-    x = matrix[:, leaf.features]
-    match = (x > leaf.low) & (x <= leaf.high)
+    x = matrix[:, features]
+    match = (x > low) & (x <= high)
     _, first, group = np.unique(match @ (1 << np.arange(m)), return_index=True, return_inverse=True)
     o = match[first].astype(np.float64)
     nodes, weights = np.polynomial.legendre.leggauss(m // 2 + 1)
     share = np.zeros_like(o)
     for t, w in zip((nodes + 1) / 2, weights / 2):
-        factor = leaf.cover * (1 - t) + o * t
+        factor = cover * (1 - t) + o * t
         share += w * factor.prod(axis=1, keepdims=True) / factor
-    out[:, leaf.features] += ((o - leaf.cover) * share * leaf.value)[group]
+    out[:, features] += ((o - cover) * share * value)[group]
 
 
 def base_value(trees: list[list[Leaf]]) -> float:
@@ -111,7 +118,8 @@ def tree_contributions(
     """
     spark = rows.sparkSession
     trees = [tree_leaves(nodes) for nodes in forest_nodes(spark, forest)]
-    shared = spark.sparkContext.broadcast(trees)
+    # Plain tuples, and functions pickled by value: workers need not have this package installed.
+    shared = spark.sparkContext.broadcast([[tuple(leaf) for leaf in leaves] for leaves in trees])
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -121,7 +129,7 @@ def tree_contributions(
                 out = np.zeros_like(matrix)
                 for leaves in shared.value:
                     for leaf in leaves:
-                        leaf_contributions(leaf, matrix, out)
+                        leaf_contributions(*leaf, matrix, out)
                 result[name] = list(out / len(shared.value))
             else:
                 result[name] = []

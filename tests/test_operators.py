@@ -1,6 +1,7 @@
 """Edge rows per operator, against values worked out by hand or by brute force."""
 
 import itertools
+import json
 import math
 import random
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from casewright.functions import actions, expressions as x
+from casewright.functions import actions, expressions as x, messages
 from casewright.functions.reasons import describe_names, is_sensitive, reason_of
 from casewright.operators import alerts, explain, fairness, identity, joins, learning, metrics, ordering, quality, statistics
 from casewright.operators.treeshap import Leaf, base_value, leaf_contributions
@@ -98,6 +99,28 @@ def test_action_rules_in_order(spark, score, reasons, action):
     assert df.select(actions.recommend_action("s", ["a", "b", "c"])).first()[0] == action
 
 
+def test_payload_and_message_text(spark):
+    df = spark.createDataFrame([(7, 0.8, 2, 0.2)], "id bigint, s double, stress int, c double")
+    document = messages.explain_payload("id", "s", F.lit(0.3), {"stress": "stress"}, [(F.lit("stress"), "stress", "c")])
+    assert json.loads(df.select(document).first()[0]) == {
+        "student_id": "7",
+        "prediction": {"dropout_probability": 0.8, "risk_level": "CRITICAL", "base_risk": 0.3},
+        "student_features": {"stress": 2},
+        "shap_explanation": {"top_3_risk_factors": [
+            {"feature": "stress", "current_value": 2.0, "shap_impact": 0.2, "contribution_pct": 25.0}]},
+    }
+    assert df.select(messages.alert_subject("id", "s")).first()[0] == "Student Risk Alert: Student 7 score 0.800"
+
+
+def test_factor_table_and_plan(spark):
+    df = frame(spark, [("sem1_grade", 9.0), ("sem1_grade", 11.0), ("sem1_absenteeism", 4.0), ("zzz", 1.0)], "f string, n double")
+    picked = df.withColumn("v", actions.factor_intervention("f", "n")["intervention_priority"])
+    assert values(picked) == [1, None, 2, None]
+    plan = frame(spark, [(2, 9.0, 4, 0.9), (0, 12.0, 0, None)], "s int, g double, a int, r double")
+    assert values(plan.withColumn("v", actions.plan_actions("s", "g", "a", "r"))) == [
+        ["emergency_financial_aid", "tutoring_or_reduced_load", "counseling", "human_counselor_review"], []]
+
+
 # --- quality and identity ---------------------------------------------------------------------
 
 
@@ -249,7 +272,7 @@ def test_tree_contributions_equal_brute_force_shapley():
     matrix = np.random.default_rng(0).normal(0.5, 1, (40, 3))
     out = np.zeros_like(matrix)
     for leaf in leaves:
-        leaf_contributions(leaf, matrix, out)
+        leaf_contributions(*leaf, matrix, out)
     for row, got in zip(matrix, out):
         assert got == pytest.approx(shapley(leaves, row, 3))
     assert base_value([leaves]) == pytest.approx(sum(lf.value * lf.cover.prod() for lf in leaves))

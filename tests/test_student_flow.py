@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casewright.operators import learning, metrics
+from casewright.operators.treeshap import tree_contributions
 from casewright.plans import student
 from casewright.sources.catalog import TABLES
 
@@ -126,6 +127,21 @@ def test_alerts_go_to_eligible_students_once(spark, tables):
     assert student.build_alerts(tables["queue"], assignments, delivered, later).count() == due
 
 
+def test_forest_explanations_add_up_and_cover_everyone(tables):
+    rows = tables["features"]
+    trained = student.train_and_score(rows, F.lit(AS_OF), trees=8, iterations=20)
+    forest = trained.models[student.FOREST]
+    scored = learning.score(forest, rows)
+    contributions, base = tree_contributions(forest.stages[-1], scored, ["student_id", "risk_score"])
+    added = F.aggregate("contributions", F.lit(base), lambda a, c: a + c)
+    assert contributions.where(F.abs(added - F.col("risk_score")) > 1e-9).count() == 0
+    assert len(contributions.first()["contributions"]) == len(learning.feature_names(forest, trained.columns))
+    flagged = trained.scores.where("predicted_dropout = 1").count()
+    explained = student.explain(trained._replace(best=student.FOREST), rows)
+    assert explained.count() == flagged
+    assert explained.where("factor_1 = 'Other model risk signal'").count() == 0
+
+
 def test_metrics_agree_with_plain_counting(tables):
     scored = tables["scores"]
     got = metrics.evaluate(scored, "actual_dropout", "predicted_dropout", "risk_score")
