@@ -36,9 +36,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = 5
 #: Ids of documents to read again are broadcast up to this many rows; beyond it Spark shuffles both sides.
 BROADCAST_ROWS = 1_000_000
-STAR_ROUNDS = 12
+STAR_ROUNDS = 6
 #: Pairs per posting up to which all remaining pairs between components are compared at once.
-SETTLE = 4
+SETTLE = 8
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -194,38 +194,54 @@ def _links(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame) -> DataFrame:
     return full.where(7 * F.size(F.array_intersect("a_tokens", "b_tokens")) >= 3 * (F.col("a_n") + F.col("b_n"))).select("a", "b")
 
 
+def _postings(prefixes: DataFrame) -> DataFrame:
+    """(node, token): who has which prefix token. Of tokens that the same nodes have, one stands for all."""
+    every = staged(prefixes.select("node", F.explode("p1").alias("token")))
+    mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "node") % (1 << 40))
+    owners = every.groupBy("token").agg(F.count(F.lit(1)).alias("k"), mark(1).alias("one"), mark(2).alias("two")).where("k > 1")
+    kept = staged(owners.groupBy("k", "one", "two").agg(F.min("token").alias("token")).select("token"))
+    return staged(every.join(kept, "token"))
+
+
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after new links; only the components that they touch are worked on."""
+    if labels is None:
+        return staged(components(links))
+    side = lambda name: labels.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
+    between = links.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    moved = staged(components(between.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))))
+    old = labels.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    new = moved.join(labels.select("node"), "node", "left_anti")
+    return staged(old.select("node", F.coalesce("to", "component").alias("component")).union(new.select("node", "component")))
+
+
 def _linked(sets: DataFrame) -> DataFrame:
     """(node, component) for every node with a link."""
     prefixes = staged(_prefixes(sets))
-    postings = staged(prefixes.select("node", F.explode("p1").alias("token")))
-    sizes = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    postings = staged(postings.join(staged(sizes).select("token"), "token"))
+    postings = _postings(prefixes)
     ordered = lambda df: df.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = None
     labels = None
     for turn in range(STAR_ROUNDS):
-        now = postings.withColumn("component", F.col("node")) if labels is None else postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        now = postings.withColumn("component", F.col("node"))
         if labels is not None:
-            now = staged(now)
+            now = staged(postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
         per = now.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
         top = per.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("top"), F.max("k").alias("most"), F.sum("k").alias("all"), F.count(F.lit(1)).alias("parts"))
         top = staged(top.where("parts > 1"))
-        open_, cost = top.agg(F.count(F.lit(1)), F.sum(F.col("all") * (F.col("all") - F.col("most")))).first()
-        if not open_:
+        entries, cost = top.agg(F.sum("all"), F.sum(F.col("all") * (F.col("all") - F.col("most")))).first()
+        if not entries:
             break
-        rest = staged(now.join(top.select("token", "top"), "token"))
-        entries = rest.count()
+        rest = now.join(top.select("token", "top"), "token")
         strays = rest.where("component <> top").select("token", F.col("node").alias("a"), F.col("component").alias("ca"))
-        if cost <= SETTLE * entries or turn == STAR_ROUNDS - 1:
+        last = cost <= SETTLE * entries or turn == STAR_ROUNDS - 1
+        if last:
             pairs = strays.join(rest.select("token", F.col("node").alias("b"), F.col("component").alias("cb")), "token").where("ca <> cb")
         else:
             # Another pivot for each token, among those outside its largest component.
-            pivot = strays.groupBy("token").agg(F.min_by("a", F.xxhash64("a", F.lit(turn))).alias("a"))
-            pairs = rest.join(staged(pivot), "token").select("a", F.col("node").alias("b"))
-        found = staged(_links(staged(ordered(pairs)), prefixes, sets))
-        links = found if links is None else staged(links.union(found))
-        labels = staged(components(links))
-        if cost <= SETTLE * entries:
+            pivot = staged(strays.groupBy("token").agg(F.min_by("a", F.xxhash64("a", F.lit(turn))).alias("a")))
+            pairs = rest.join(pivot, "token").select("a", F.col("node").alias("b"))
+        labels = _joined(labels, staged(_links(ordered(pairs), prefixes, sets)))
+        if last:
             break
     return labels if labels is not None else postings.select("node", F.col("node").alias("component")).where("false")
 
