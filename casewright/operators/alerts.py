@@ -18,11 +18,14 @@ def eligible(queue: DataFrame, predicted: str = "predicted", least: float = 0.70
 
 def recent_sends(
     log: DataFrame, keys: list[str], as_of: Column, hours: int = 48,
-    status: str = "sent_status", sent: str = "sent", stamp: str = "sent_ts",
+    status: str = "sent_status", sent: str | tuple[str, ...] = "sent", stamp: str = "sent_ts",
 ) -> DataFrame:
-    """Distinct keys with a successful send in the look-back window (its start included)."""
+    """Distinct keys with a successful send in the look-back window (its start included).
+
+    ``sent`` is the status, or the statuses, that count as sent.
+    """
     start = as_of.cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
-    return log.where((F.col(status) == sent) & (F.col(stamp) >= start)).select(*keys).dropDuplicates()
+    return log.where((F.col(status).isin(*([sent] if isinstance(sent, str) else sent))) & (F.col(stamp) >= start)).select(*keys).dropDuplicates()
 
 
 def pending_alerts(
@@ -30,9 +33,13 @@ def pending_alerts(
     key: str = "entity_id", recipient: str = "counselor_email", predicted: str = "predicted",
     hours: int = 48, least: float = 0.70,
 ) -> DataFrame:
-    """Eligible entities with an active assignee who was not told within the look-back window."""
+    """Eligible entities with an active assignee who was not told within the look-back window.
+
+    An alert that waits in the outbox counts as told, so a second run within the window queues nothing twice.
+    """
     due = assign(eligible(queue, predicted, least), assignments, key)
-    return suppress_recent(due, recent_sends(log, [key, recipient], as_of, hours), [key, recipient])
+    told = recent_sends(log, [key, recipient], as_of, hours, sent=("sent", "pending"))
+    return suppress_recent(due, told, [key, recipient])
 
 
 def render_alerts(

@@ -91,10 +91,6 @@ def _literals(values: Sequence[object]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-# Above this many features the generated code of the in-row form gets too long for the JIT.
-IN_ROW_LIMIT = 24
-
-
 def top_reasons_wide(
     df: DataFrame, contributions: Mapping[str, ColumnLike], keep: Sequence[str], k: int = 3,
     positive_first: bool = True, all_features: bool = False,
@@ -102,27 +98,11 @@ def top_reasons_wide(
     """Top ``k`` distinct reasons per row, from contributions ``{feature name: column}``.
 
     Everything happens inside the row: no explode, no shuffle. Features that share a reason are reduced
-    to their best one, then one small sort gives the order: positive contributions first, then the rest
-    by size. Sensitive and unmapped features are skipped unless ``all_features``.
+    to their best one: positive contributions first, then the rest by size. Sensitive and unmapped
+    features are skipped unless ``all_features``. The code does not grow with the number of features.
     """
-    if len(contributions) > IN_ROW_LIMIT:
-        packed = df.select(*keep, F.array(*map(as_column, contributions.values())).alias("_contributions"))
-        return top_reasons_array(packed, list(contributions), keep, "_contributions", k, positive_first, all_features)
-    names, reasons, reason_by_name = _usable(list(contributions), all_features)
-    if not names:
-        return df.select(*keep, *_reason_columns([(F.lit(None).cast("string"),) * 2] * k))
-    by_reason: dict[str, list[Column]] = {}
-    for place, name in enumerate(names):
-        reason = reason_by_name[name]
-        part = as_column(contributions[name])
-        entry = _entry(part, positive_first, F.lit(place), F.lit(reasons.index(reason)))
-        by_reason.setdefault(reason, []).append(F.when(part.isNotNull(), entry))
-    best = [F.greatest(*entries) if len(entries) > 1 else entries[0] for entries in by_reason.values()]
-    ordered = df.select(*keep, F.sort_array(F.array(*best), asc=False).alias("_sorted"))
-    chosen = [F.get("_sorted", F.lit(i)) for i in range(k)]
-    return ordered.select(*keep, *_reason_columns([
-        (F.get(_literals(names), c["place"]), F.get(_literals(reasons), c["reason"])) for c in chosen
-    ]))
+    packed = df.select(*keep, F.array(*map(as_column, contributions.values())).alias("_contributions"))
+    return top_reasons_array(packed, list(contributions), keep, "_contributions", k, positive_first, all_features)
 
 
 def map_reasons(df: DataFrame, feature: str = "feature") -> DataFrame:
@@ -142,17 +122,16 @@ def top_reasons(
     reasons in the vocabulary.
     """
     reasons = map_reasons(contributions)
-    rows = null_safe_lookup(contributions.where(F.col("contribution").isNotNull()), reasons, ["feature"], "inner")
+    rows = null_safe_lookup(contributions, reasons, ["feature"])
+    usable = F.col("contribution").isNotNull()
     if not all_features:
-        rows = rows.where((F.col("reason") != OTHER_REASON) & ~F.col("sensitive"))
-    best = rows.groupBy(key, "reason").agg(
+        usable = usable & (F.col("reason") != OTHER_REASON) & ~F.col("sensitive")
+    # What cannot be a reason stays as a row without one, so that no entity is lost.
+    best = rows.groupBy(key, F.when(usable, F.col("reason")).alias("reason")).agg(
         F.min(F.struct(*_sort_key(F.col("contribution"), positive_first), "feature")).alias("best")
     )
-    gathered = best.groupBy(key).agg(
-        F.sort_array(
-            F.collect_list(F.struct("best.tier", "best.weight", "best.feature", "reason"))
-        ).alias("_sorted")
-    )
+    named = F.when(F.col("reason").isNotNull(), F.struct("best.tier", "best.weight", "best.feature", "reason"))
+    gathered = best.groupBy(key).agg(F.sort_array(F.collect_list(named)).alias("_sorted"))
     chosen = [(F.get("_sorted", F.lit(i))["feature"], F.get("_sorted", F.lit(i))["reason"]) for i in range(k)]
     return gathered.select(key, *_reason_columns(chosen))
 

@@ -195,7 +195,9 @@ def threshold_curve(df: DataFrame, attribute: str, score: str, actual: str, grid
     groups = bins.groupBy("group_name").agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     full = groups.select("group_name", "all_pos", "all_neg", F.explode(F.sequence(F.lit(0), F.lit(grid))).alias("step"))
     above = Window.partitionBy("group_name").orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return full.join(bins, ["group_name", "step"], "left").select(
+    found = bins.select(F.col("group_name").alias("_group"), F.col("step").alias("_step"), "pos", "neg")
+    same = F.col("group_name").eqNullSafe(F.col("_group")) & (F.col("step") == F.col("_step"))  # NULL is a group too
+    return full.join(found, same, "left").select(
         "group_name", "step", "all_pos", "all_neg",
         F.sum(F.coalesce("pos", F.lit(0))).over(above).alias("tp"),
         F.sum(F.coalesce("neg", F.lit(0))).over(above).alias("fp"),

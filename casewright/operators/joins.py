@@ -90,23 +90,29 @@ def audit_frame(
     return joined
 
 
+#: Rows of a catalogue that may travel with every entity.
+CATALOG_ROWS = 1_000
+
+
 def recommend_interventions(
     entities: DataFrame,
     catalog: DataFrame,
     key: str,
     risk: str,
     stress: str,
-    k: int = 5,
+    k: int | None = 5,
     risk_slack: float = 0.15,
     stress_slack: int = 1,
 ) -> DataFrame:
-    """The ``k`` most successful interventions whose thresholds fit each entity.
+    """The ``k`` most successful interventions whose thresholds fit each entity; all of them without ``k``.
 
-    The catalogue is a fixed literal table: it travels as one array per row and is filtered in place,
+    The catalogue is a fixed literal table (at most ``CATALOG_ROWS`` rows, else an error): it travels as one array per row and is filtered in place,
     so nothing is shuffled and no entity is paired with rows it does not keep.
     """
     fields = ["success_rate", "intervention_type", "avg_cost", "description", "category",
               "risk_score_threshold", "financial_stress_level"]
+    if catalog.limit(CATALOG_ROWS + 1).count() > CATALOG_ROWS:
+        raise ValueError(f"the catalogue has more than {CATALOG_ROWS} rows")
     ranked = catalog.agg(
         F.sort_array(F.collect_list(F.struct((-F.col("success_rate")).alias("order"), *fields))).alias("c")
     )
@@ -118,7 +124,7 @@ def recommend_interventions(
     return (
         entities.select(key, risk, stress)
         .withColumn("_catalog", ranked.scalar())
-        .select(key, risk, stress, F.slice(fitting, 1, k).alias("fit"))
+        .select(key, risk, stress, (fitting if k is None else F.slice(fitting, 1, k)).alias("fit"))
         .select(key, risk, stress, F.posexplode("fit").alias("pos", "item"))
         .select(
             key, risk, stress,

@@ -47,14 +47,21 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _modes(train: DataFrame, columns: list[str]) -> dict[str, str | None]:
+    """Most frequent value of each column (the smaller on ties), counted before anything is gathered."""
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]))
+    counts = train.select(values.alias("v")).select("v.*").where("value IS NOT NULL").groupBy("name", "value").count() if columns else None
+    best = counts.groupBy("name").agg(F.min_by("value", F.struct(-F.col("count"), F.col("value"))).alias("value")).collect() if columns else []
+    return dict.fromkeys(columns) | {r["name"]: r["value"] for r in best}
+
+
 def build_preprocessor(train: DataFrame, columns: ModelColumns, drop_first: bool = False) -> list:
     """Pipeline stages: numeric median fill and standardisation, categorical mode fill and one-hot.
 
     A level that was not seen in training becomes all zeros. ``drop_first`` leaves out the
     alphabetically first level of each category, as in a dummy coding.
     """
-    modes = train.agg(*[F.mode(F.col(c).cast("string"), True).alias(c) for c in columns.categorical]).first() \
-        if columns.categorical else {}
+    modes = _modes(train, columns.categorical)
     casts = [f"CAST(`{c}` AS DOUBLE) AS `num__{c}`" for c in columns.numeric]
     for c in columns.categorical:
         fill = _sql_text(modes[c] if modes[c] is not None else "missing")

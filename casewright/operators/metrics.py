@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright.operators.fairness import confusion, rate
+from casewright.operators.joins import null_safe_lookup
 from casewright.operators.ordering import with_running_totals
 
 # Columns of the metrics table.
@@ -29,19 +30,23 @@ def binary_metrics(df: DataFrame, actual: str = "actual", predicted: str = "pred
     )
 
 
-def roc_auc(df: DataFrame, label: str = "actual", score: str = "risk_score") -> DataFrame:
-    """Tie-aware area under the ROC curve in one row, NULL when only one class occurs.
+def roc_auc(df: DataFrame, label: str = "actual", score: str = "risk_score", keys: Sequence[str] = ()) -> DataFrame:
+    """Tie-aware area under the ROC curve, NULL when only one class occurs: one row, or one per group of ``keys``.
 
     Rows are first counted per distinct score; every positive beats the negatives below it and half of
     those it ties with. The running count is distributed, so the scores may be all different.
     """
-    by_score = df.groupBy(F.col(score).alias("score")).agg(
+    by_score = df.groupBy(*keys, F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    running = with_running_totals(by_score, ["score"], {"neg_upto": "neg"})
+    running = with_running_totals(by_score, [*keys, "score"], {"neg_upto": "neg"})
+    if keys:
+        # The running count goes on through the groups in order; take off what stands before each group.
+        first = running.groupBy(*keys).agg(F.min(F.col("neg_upto") - F.col("neg")).alias("neg_before"))
+        running = null_safe_lookup(running, first, list(keys)).withColumn("neg_upto", F.col("neg_upto") - F.col("neg_before"))
     wins = F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg") / F.lit(2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return running.agg(F.try_divide(F.sum(wins), pairs).alias("roc_auc"))
+    return running.groupBy(*keys).agg(F.try_divide(F.sum(wins), pairs).alias("roc_auc"))
 
 
 def select_best(metrics: DataFrame, preferred: str) -> DataFrame:

@@ -80,7 +80,7 @@ def combination_top(df: DataFrame, columns: Sequence[str], measure: str, action:
         F.round(F.sum("_sum") / F.sum("_m"), 4).alias(f"avg_{measure}"),
         F.min_by(action, F.struct(-F.col("_n"), F.col(action))).alias("typical_action"),
     )
-    everything = F.sum("n").over(Window.partitionBy())
+    everything = per_action.agg(F.sum("_n").alias("t")).scalar()
     shared = combos.withColumn("pct_of_total", _percent(F.col("n"), everything))
     return top_n(shared, [F.col("n").desc(), *[F.col(c).asc_nulls_last() for c in columns]], n)
 

@@ -56,7 +56,7 @@ def top_reasons_in_row(spark, sf_dir):
     return explanations(stored_scores(spark, sf_dir)).drop("risk_score")
 
 
-@check("top_reasons_long", f"WITH {TOP} SELECT {TOP_COLUMNS} FROM top WHERE entity_id IN (SELECT entity_id FROM eligible)")
+@check("top_reasons_long", f"WITH {TOP} SELECT {TOP_COLUMNS} FROM top")
 def top_reasons_long(spark, sf_dir):
     raw = F.when(F.col("feature") == "gender", MODEL_NAMES["gender"]).otherwise(F.concat(F.lit("num__"), "feature"))
     return explain.top_reasons(long_rows(spark, sf_dir).withColumn("feature", raw), "entity_id")
@@ -192,13 +192,8 @@ def select_best(spark, sf_dir):
     rows = staged(
         table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id")
     )
-    per_language = [
-        metrics.roc_auc(rows.where(F.col("lang") == lang), "quality", "n_chars").select(
-            F.lit(lang).alias("model_name"), F.round("roc_auc", 6).alias("roc_auc")
-        )
-        for lang in ("de", "en", "es", "fr")
-    ]
-    return metrics.select_best(statistics.stack_reports(per_language), "en")
+    per_language = metrics.roc_auc(rows, "quality", "n_chars", ["lang"])
+    return metrics.select_best(per_language.select(F.col("lang").alias("model_name"), F.round("roc_auc", 6).alias("roc_auc")), "en")
 
 
 CATEGORIES = ["course", "app_order", "debtor", "paid", "scholar", "financial_segment", "academic_momentum_band", "financial_risk_band"]
@@ -227,21 +222,21 @@ def preprocessed_features(spark, sf_dir):
 @check("logistic_scores")
 def logistic_scores(spark, sf_dir):
     parts, train, _, stages = prepared(spark, sf_dir)
-    model = learning.fit_lr(train, stages, "actual", max_iter=25)
+    model = learning.fit_lr(train, stages, "actual")
     return learning.score(model, parts.where(F.col("is_test") == 1)).select("entity_id", "actual", "risk_score", "predicted")
 
 
 @check("forest_scores")
 def forest_scores(spark, sf_dir):
     parts, train, _, stages = prepared(spark, sf_dir)
-    model = learning.fit_rf(train, stages, "actual", trees=10, depth=6)
+    model = learning.fit_rf(train, stages, "actual")
     return learning.score(model, parts.where(F.col("is_test") == 1)).select("entity_id", "actual", "risk_score", "predicted")
 
 
 @check("tree_contributions")
 def tree_contributions(spark, sf_dir):
     parts, train, _, stages = prepared(spark, sf_dir)
-    model = learning.fit_rf(train, stages, "actual", trees=10, depth=6)
+    model = learning.fit_rf(train, stages, "actual")
     flagged = learning.score(model, parts.where(F.col("is_test") == 1)).where(F.col("predicted") == 1)
     rows, base = treeshap.tree_contributions(model.stages[-1], flagged, ["entity_id", "risk_score"])
     added = F.aggregate("contributions", F.lit(base), lambda a, c: a + c)
@@ -253,8 +248,8 @@ def model_metrics(spark, sf_dir):
     parts, train, _, stages = prepared(spark, sf_dir)
     test = parts.where(F.col("is_test") == 1)
     models = {
-        "logistic_regression_baseline": learning.fit_lr(train, stages, "actual", max_iter=25),
-        "random_forest_baseline": learning.fit_rf(train, stages, "actual", trees=10, depth=6),
+        "logistic_regression_baseline": learning.fit_lr(train, stages, "actual"),
+        "random_forest_baseline": learning.fit_rf(train, stages, "actual"),
     }
     results = {
         name: metrics.evaluate(staged(learning.score(m, test).select("actual", "predicted", "risk_score")), "actual", "predicted", "risk_score")

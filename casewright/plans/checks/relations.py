@@ -176,7 +176,7 @@ FROM catalog c LEFT JOIN fit f ON f.intervention_type = c.intervention_type GROU
 def catalog_reach(spark, sf_dir):
     catalog = intervention_catalog(spark)
     fits = joins.recommend_interventions(
-        scored_rows(spark, sf_dir), catalog, "entity_id", "risk_score", "financial_stress_index", k=1000
+        scored_rows(spark, sf_dir), catalog, "entity_id", "risk_score", "financial_stress_index", k=None
     )
     reach = fits.groupBy("intervention_type").agg(F.count("*").alias("entities"))
     return joins.left_join_default(catalog.select("intervention_type", "category"), reach, "intervention_type", {"entities": 0})

@@ -235,20 +235,15 @@ def entity_profile_function(spark, sf_dir):
 
 
 @check("similar_interventions_function", f"""WITH {PROFILES}, {CATALOG} SELECT entity_id, intervention_type, CAST(success_rate AS DOUBLE) AS success_rate
-  FROM (SELECT * FROM profiles ORDER BY dropout_risk_score DESC, entity_id LIMIT 3) p JOIN catalog c
+  FROM profiles p JOIN catalog c
     ON c.risk_score_threshold <= dropout_risk_score + 0.15 AND c.financial_stress_level <= p.financial_stress_index + 1
   QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY success_rate DESC, intervention_type) <= 5""")
 def similar_interventions_function(spark, sf_dir):
     register(spark, sf_dir)
-    heads = spark.sql("SELECT entity_id, dropout_risk_score AS r, financial_stress_index AS s FROM top_risk(0.0D, 3)").collect()
-    frames = [
-        spark.sql(
-            "SELECT CAST(:e AS BIGINT) AS entity_id, intervention_type, success_rate FROM similar_interventions(CAST(:r AS DOUBLE), :s)",
-            args={"e": h["entity_id"], "r": h["r"], "s": h["s"]},
-        )
-        for h in heads
-    ]
-    return statistics.stack_reports(frames)
+    return spark.sql(
+        "SELECT p.entity_id, s.intervention_type, s.success_rate FROM cw_profiles p, "
+        "LATERAL similar_interventions(CAST(p.dropout_risk_score AS DOUBLE), CAST(p.financial_stress_index AS INT)) s"
+    )
 
 
 @check("top_risk_function", f"WITH {PROFILES} SELECT {PROFILE_COLUMNS} FROM profiles WHERE dropout_risk_score >= 0.7 ORDER BY dropout_risk_score DESC, entity_id LIMIT 50")

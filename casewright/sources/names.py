@@ -25,13 +25,15 @@ def normalized(name: str, style: str = "keepword", percent: bool = True) -> str:
 
 
 def numbered(names: Iterable[str]) -> list[str]:
-    """Second and later uses of a name get ``_1``, ``_2``, ..."""
-    used: dict[str, int] = {}
-    result = []
-    for name in names:
-        count = used.get(name, 0)
-        result.append(f"{name}_{count}" if count else name)
-        used[name] = count + 1
+    """Second and later uses of a name get the first free one of ``_1``, ``_2``, ..."""
+    wanted = list(names)
+    taken, result = set(wanted), []
+    for name in wanted:
+        free = name
+        if name in result:
+            free = next(f"{name}_{i}" for i in range(1, len(wanted) + len(taken) + 1) if f"{name}_{i}" not in taken)
+        taken.add(free)
+        result.append(free)
     return result
 
 
