@@ -29,7 +29,7 @@ def folded(text: str) -> Column:
 
 def words_of(text: str) -> Column:
     """Normalised words; a null text has none."""
-    return F.filter(F.split(folded(text), NOT_WORD), lambda w: w != "")
+    return F.array_remove(F.split(folded(text), NOT_WORD), "")
 
 
 def _small(df: DataFrame) -> DataFrame:

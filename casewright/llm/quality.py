@@ -22,12 +22,12 @@ SYMBOLS = r"[#*$%&|<>]"
 
 
 def words_of(text: str) -> Column:
-    return F.filter(F.split(F.coalesce(F.col(text), F.lit("")), SPACES), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), SPACES), "")
 
 
 def hashed_ngrams(words: str) -> Column:
     """A bucket for each word and for each word with its successor."""
-    bucket = lambda *c: F.pmod(F.xxhash64(*c), F.lit(BUCKETS)).cast("int")
+    bucket = lambda *c: F.xxhash64(*c).bitwiseAND(BUCKETS - 1).cast("int")
     pairs = F.transform(words, lambda w, i: bucket(F.lit(2), w, F.get(F.col(words), i + 1)))
     return F.concat(F.transform(words, lambda w: bucket(F.lit(1), w)), pairs)
 
@@ -58,7 +58,7 @@ def rule_counts(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
     read = docs.select(*keep, t.alias("_t"), words_of(text).alias("words"), lines.alias("_lines"))
     counted = read.select(
         *keep, "words", F.size("words").cast("bigint").alias("n_words"), F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
-        (F.length("_t") - F.length(F.translate("_t", "#*$%&|<>", ""))).cast("bigint").alias("n_symbols"),
+        F.when(F.col("_t").rlike(SYMBOLS), F.length("_t") - F.length(F.translate("_t", "#*$%&|<>", ""))).otherwise(0).cast("bigint").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"), repeated_words("words").alias("_w"),
     )
     twice = F.size(F.array_distinct("_w")) < F.size("_w")
