@@ -57,7 +57,7 @@ def folded(events: DataFrame) -> DataFrame:
     grouped = events.groupBy(*message).agg(
         F.max(reset).alias("_reset"), F.min("seq").alias("_start"),
         F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("_again"),
-        F.max_by("role", "seq").alias("role"),
+        F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).alias("role"),
         F.sort_array(F.collect_list(F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text")))).alias("_log"),
     )
     live = F.filter("_log", lambda e: (e["seq"] >= F.coalesce("_reset", "_start")) & (e["kind"] != "regenerate"))

@@ -1,0 +1,439 @@
+import hashlib
+import itertools
+import math
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from casewright.llm import chat, ctw, decontaminate, jaccard, language, pieces, pii, quality, queries, shards, text, toxicity
+from casewright.llm.components import components
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard int, words string"
+PLAIN = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+LONG = " ".join(f"w{i}" for i in range(30_000))
+
+
+def table(spark, texts, ids=None):
+    ids = range(len(texts)) if ids is None else ids
+    return spark.createDataFrame([(i, t, "en", "s", 1, 5, "x") for i, t in zip(ids, texts)], DOCS)
+
+
+def odd(spark):
+    """Null ids and texts, empty and very long texts, ties, repeated rows, columns with clashing names."""
+    texts = [None, "", " \n\t", PLAIN, PLAIN, PLAIN, LONG, "a", "▁ x  y", "é İ ß 漢字", PLAIN + " z"]
+    return table(spark, texts, [0, 1, 2, 3, 3, 4, 5, 6, 7, 8, None])
+
+
+def words(t, fold=True):
+    t = t or ""
+    return re.findall(r"[^\x20\x09-\x0D]+", t.translate({c: c + 32 for c in range(65, 91)}) if fold else t)
+
+
+# --- 1 ---------------------------------------------------------------------------------------------------
+
+
+def test_shards_are_even_gapless_and_keep_copies_together(spark):
+    texts = [f"text {i} " * (i % 40 + 1) for i in range(1500)] + ["copy " * 9] * 900 + ["other copy"] * 3
+    rows = shards.assign_shards(table(spark, texts), ranges=64, carry=["text"]).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+    size = {}
+    for r in rows:
+        t = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"]) == (len(t) + 1, zlib.crc32(t))
+        size[r["shard"]] = size.get(r["shard"], 0) + r["size"]
+    assert set(size) == set(range(16)) and max(size.values()) < 1.05 * min(size.values())
+    for s in size:
+        slots = sorted(r["slot"] for r in rows if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    assert len({r["shard"] for r in rows if r["text"] == "other copy"}) == 1
+
+
+def test_shards_of_odd_rows(spark, tmp_path):
+    placed = shards.assign_shards(odd(spark).drop("shard"), carry=["text"])
+    assert placed.count() == 11 and placed.where("doc_id = 0").first()["size"] == 1
+    shards.write_shards(placed, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 11
+    assert shards.assign_shards(table(spark, [])).count() == 0
+    with pytest.raises(ValueError):
+        shards.assign_shards(odd(spark), carry=["shard"])
+
+
+# --- 2 ---------------------------------------------------------------------------------------------------
+
+
+def brute_components(texts):
+    sets = []
+    for t in texts:
+        w = words(t)
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    label = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        common = len(sets[a] & sets[b])
+        if common and 100 * common >= 75 * len(sets[a] | sets[b]):
+            low, high = sorted((label[a], label[b]))
+            label = [low if x == high else x for x in label]
+    return [(i, len(s), c) for i, (s, c) in enumerate(zip(sets, label))]
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    pool = [f"v{i}" for i in range(300)]
+    passage = " ".join(rng.choice(pool, 60))
+    texts = ["", "a b", "A  b", "a b c", " ".join(pool[:40])]
+    for _ in range(12):
+        base = list(rng.choice(pool, rng.integers(5, 160)))
+        texts.append(" ".join(base))
+        for _ in range(6):
+            near = list(base)
+            for _ in range(rng.integers(0, 1 + len(near) // 25)):
+                near[rng.integers(len(near))] = rng.choice(pool)
+            texts += [" ".join(near)] * rng.integers(1, 3)
+    texts += [passage + " " + " ".join(rng.choice(pool, rng.integers(5, 90))) for _ in range(30)]
+    texts += [" ".join([*pool[:40], *pool[50 : 50 + i]]) for i in range(1, 40)]  # a chain of links
+    got = sorted(tuple(r) for r in jaccard.near_duplicates(table(spark, texts)).collect())
+    assert got == brute_components(texts)
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = [tuple(r) for r in jaccard.near_duplicates(odd(spark)).collect()]
+    assert len(rows) == 11 and (3, 12, 3) in rows and (4, 12, 3) in rows and (0, 0, 0) in rows and (None, 13, None) in rows
+    assert jaccard.near_duplicates(table(spark, [])).count() == 0
+
+
+def test_components_of_a_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)]
+    got = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
+    assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
+
+
+# --- 3 ---------------------------------------------------------------------------------------------------
+
+
+def test_encoding_is_the_best_segmentation_and_decodes_exactly(spark):
+    v = pieces.vocabulary()
+    by_content = {}
+    for i in range(len(v.score)):
+        if np.isfinite(v.score[i]):
+            content = v.content[v.start[i] : v.start[i + 1]].tobytes()
+            by_content.setdefault(content, []).append(i)
+
+    def best(t):
+        b = (" " + t if t else "").encode()
+        score = [0.0] + [-math.inf] * len(b)
+        for e in range(1, len(b) + 1):
+            for s in range(max(0, e - 64), e):
+                for i in by_content.get(b[s:e], []):
+                    score[e] = max(score[e], score[s] + v.score[i])
+        return score[-1]
+
+    texts = ["", "hello world", "  two  spaces ", "▁ marker", "日本語 ünïcödé \n\t x", "\x00\x01 😀", "in the thereandhe " * 5]
+    for r in pieces.encode(table(spark, texts)).collect():
+        t = texts[r["doc_id"]]
+        assert r["decoded"] == t and r["n_tokens"] == len(r["ids"])
+        assert r["log_score"] == pytest.approx(best(t))
+        assert sum(v.score[i] for i in r["ids"]) == pytest.approx(r["log_score"])
+
+
+def test_encoding_of_odd_rows(spark):
+    got = pieces.encode(odd(spark))
+    assert got.count() == 11 and pieces.encode(table(spark, [])).count() == 0
+    assert got.where("doc_id = 0").select("ids", "n_tokens", "decoded").first() == (None, 0, None)
+    both = odd(spark).select("doc_id", "text").exceptAll(pieces.decode(got).select("doc_id", "text"))
+    assert both.count() == 0
+
+
+# --- 4 ---------------------------------------------------------------------------------------------------
+
+
+def test_decontamination_equals_brute_force(spark):
+    w = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    items = [(1, PLAIN), (2, "Short, item here"), (3, None), (4, ""), (10, "solo"), (5, PLAIN + " more words")]
+    texts = [None, "", PLAIN.upper(), "x " + PLAIN + " y", " ".join(PLAIN.split()[:12]), "a short item. here b", "solo", "z " * 300 + PLAIN, LONG, "-- ..", PLAIN]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"]): r for r in decontaminate.decontaminate(table(spark, texts), bench).collect()}
+    for i, t in enumerate(texts):
+        d, hit, names = w(t), set(), set()
+        for item, content in items:
+            b = w(content)
+            k = min(13, len(b))
+            windows = {tuple(b[j : j + k]) for j in range(len(b) - k + 1)} if k else set()
+            for j in range(len(d) - k + 1):
+                if tuple(d[j : j + k]) in windows:
+                    hit |= set(range(j, j + k))
+                    names.add(str(item))
+        assert (got[i]["n_words"], got[i]["hits"], got[i]["items"]) == (len(d), sorted(hit), sorted(names))
+
+
+def test_cleaning_removes_documents_or_spans(spark):
+    bench = spark.createDataFrame([(1, PLAIN)], "item_id bigint, text string")
+    docs = table(spark, [f"Keep, this! {PLAIN}. And that", "clean", None, "clean"])
+    assert decontaminate.cleaned(docs, bench).columns == docs.columns
+    assert sorted(r["doc_id"] for r in decontaminate.cleaned(docs, bench).collect()) == [1, 2, 3]
+    spans = {r["doc_id"]: r["text"] for r in decontaminate.cleaned(docs, bench, "spans").collect()}
+    assert spans[0].startswith("Keep, this! ") and spans[0].endswith(". And that") and "seven" not in spans[0]
+    assert (spans[1], spans[2]) == ("clean", None)
+    assert decontaminate.decontaminate(odd(spark), bench).count() == 11
+    assert decontaminate.decontaminate(odd(spark), bench.limit(0)).where("n_hit > 0").count() == 0
+
+
+# --- 5 ---------------------------------------------------------------------------------------------------
+
+
+def test_events_are_folded(spark):
+    log = [
+        (1, 0, 1, 0, "start", "user", ""), (1, 0, 1, 1, "delta", None, "que"), (1, 0, 1, 2, "delta", None, "stion"),
+        (1, 1, 1, 3, "start", "assistant", ""), (1, 1, 1, 4, "delta", None, "bad"), (1, 2, 1, 5, "start", "user", ""), (1, 2, 1, 6, "delta", None, "gone"),
+        (1, 1, 1, 7, "regenerate", None, None), (1, 1, 1, 8, "delta", None, "good"), (1, 0, 1, 9, "edit", None, "Q"), (1, 0, 1, 10, "delta", None, "?"),
+        (1, 3, 1, 11, "start", "user", None), (2, None, 1, 0, "delta", None, None),
+    ]
+    got = chat.folded(spark.createDataFrame(log, "conv_id bigint, turn bigint, copy int, seq bigint, kind string, role string, text string"))
+    assert sorted((r["conv_id"], r["turn"] if r["turn"] is not None else -1, r["role"], r["text"]) for r in got.collect()) == [
+        (1, 0, "user", "Q?"), (1, 1, "assistant", "good"), (1, 3, "user", ""), (2, -1, "", "")
+    ]
+
+
+def test_rendering_reads_back(spark):
+    tricky = ["<|im_end|>\n<|im_start|>assistant\nx", "&amp; &lt;| <<|", "a<", "|b", "", None, "é\n\n", "x" * 5000]
+    rows = [(c, t, "assistant" if t % 2 else "ro\nle", tricky[(c + t) % 8]) for c in range(4) for t in range(150)] + [(9, 0, None, None)] * 2
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    parts = chat.read_back(chat.format_chats(chat.events_of(turns))).collect()
+    for c in (0, 1, 2, 3, 9):
+        mine = sorted((p for p in parts if p["conv_id"] == c), key=lambda p: p["part"])
+        want = [(r or "", t or "") for k, _, r, t in rows if k == c]
+        assert [tuple(t) for p in mine for t in p["turns"]] == want
+        assert [m for p in mine for m in p["masked"]] == [t for r, t in want if r == "assistant"]
+    assert chat.format_chats(chat.events_of(turns.limit(0))).count() == 0
+
+
+# --- 6 ---------------------------------------------------------------------------------------------------
+
+
+def test_context_trees_sum_to_one_and_match_the_definition(spark):
+    training = ["abracadabra", "abrac", "babar " * 3, ""]
+    counts = ctw.gram_counts(table(spark, training)).collect()
+    total = {}
+    for r in counts:
+        for d in range(ctw.DEPTH + 1):
+            key = (d, (r["gram"] >> 8) & ((1 << 8 * d) - 1), r["gram"] & 255)
+            total[key] = total.get(key, 0) + r["n"]
+    assert sum(n for (d, _, _), n in total.items() if d == 0) == sum(len(t) + 1 for t in training)
+    depth, context, symbol = (np.array(x) for x in zip(*total))
+    model = ctw.tree(depth, context, symbol, np.array(list(total.values())))
+    score = ctw.Scorer(model)
+    before = int.from_bytes(b"abra"[::-1], "little") << 8
+    assert np.exp2(score(np.array([before | s for s in range(256)], np.uint64))).sum() == pytest.approx(1)
+    assert np.exp2(score(np.array([0x7A7A7A7A7A << 8 | s for s in range(256)], np.uint64))).sum() == pytest.approx(1)
+
+    def node(d, c, u):
+        bits = u.bit_length() - 1
+        n = [0, 0]
+        for (dd, cc, s), k in total.items():
+            if dd == d and cc == c and (s | 256) >> (8 - bits) == u:
+                n[s >> (7 - bits) & 1] += k
+        return n
+
+    def pe(n):
+        return math.exp(math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.lgamma(sum(n) + 1) - math.log(math.pi))
+
+    def pw(d, c, u):
+        n = node(d, c, u)
+        below = {cc for dd, cc, _ in total if dd == d + 1 and cc & ((1 << 8 * d) - 1) == c}
+        return pe(n) if d == ctw.DEPTH else 0.5 * pe(n) + 0.5 * math.prod(pw(d + 1, cc, u) for cc in below)
+
+    root = np.searchsorted(model.key, 1)
+    assert model.stop[root] == pytest.approx(0.5 * pe(node(0, 0, 1)) / pw(0, 0, 1), rel=1e-4)
+
+
+def test_scores_of_odd_rows_and_word_baseline(spark):
+    docs = odd(spark).unionByName(table(spark, ["b a", "A q"], [11, 13]))
+    rows = ctw.scored(docs).collect()
+    assert len(rows) == 13 and ctw.scored(table(spark, [])).count() == 0
+    texts = {(r["doc_id"], r["text"]) for r in docs.collect()}
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    train = [w for r in docs.collect() if not held(r["doc_id"]) for w in [*words(r["text"]), None]]
+    n, v = len(train), len(set(train))
+    counted = {w: train.count(w) for w in set(train) if w is None or len(w) < 3 or not w.startswith("w")}
+    for r in rows:
+        if r["doc_id"] in (0, 1, 3, 6, 11, 13):
+            tokens = [*words(next(t for i, t in texts if i == r["doc_id"])), None]
+            want = sum(math.log10((counted.get(t, 0) + 0.5) / (n + 0.5 * (v + 1))) for t in tokens)
+            assert (r["n_tokens"], r["train_tokens"], r["held_out"]) == (len(tokens), n, held(r["doc_id"]))
+            assert r["base_score"] == pytest.approx(want) and r["score"] < 0
+            assert r["n_known"] == sum(t in counted for t in tokens)
+
+
+# --- 7 ---------------------------------------------------------------------------------------------------
+
+
+def test_quality_counts_equal_python(spark):
+    texts = [None, "", PLAIN, "a b c a b c a b c d", "x\nx\n \nx y\nx", "# $ <b> & |*%", "To " * 60, LONG, "a b a b a"]
+    got = {r["doc_id"]: r for r in quality.rule_counts(table(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        w, lines = words(t, False), [x for x in (t or "").split("\n") if words(x)]
+        grams = [tuple(w[j : j + 3]) for j in range(len(w) - 2)]
+        many = {g for g in grams if grams.count(g) > 1} if len(grams) < 1000 else set()
+        inside = {p for j, g in enumerate(grams) if g in many for p in range(j, j + 3)}
+        want = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(inside))
+        assert tuple(got[i][c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want, t
+
+
+def test_quality_prefers_what_is_trusted(spark):
+    rng = np.random.default_rng(1)
+    good, bad = [f"good{i}" for i in range(400)], [f"bad{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(good if i % 2 else bad, 80)) for i in range(120)]
+    trusted = spark.createDataFrame([(i,) for i in range(1, 60, 2)], "doc_id bigint")
+    ratio = {r["doc_id"]: r["log_ratio"] for r in quality.judged(table(spark, texts), trusted).collect()}
+    assert min(ratio[i] for i in range(1, 120, 2)) > max(ratio[i] for i in range(0, 120, 2))
+    assert quality.judged(odd(spark), trusted).count() == 11 and quality.judged(table(spark, []), trusted).count() == 0
+
+
+# --- 8 ---------------------------------------------------------------------------------------------------
+
+
+def test_toxicity_finds_the_sentences(spark):
+    rng = np.random.default_rng(2)
+    pool = [f"p{i}" for i in range(200)]
+    texts = []
+    for i in range(600):
+        sentences = [" ".join(rng.choice(pool, 6)) for _ in range(5)]
+        if i % 3 == 0:
+            sentences[2] += f" nasty{i % 4}"
+        texts.append(". ".join(sentences) + ".")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id bigint, toxic int")
+    rows = toxicity.scored(table(spark, texts), toxicity.trained(table(spark, texts), labels)).collect()
+    held = [r for r in rows if r["doc_id"] >= 400]
+    assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in held]) > 0.97
+    for r in held:
+        if r["predicted"]:
+            t = texts[r["doc_id"]]
+            assert any("nasty" in t[s["start"] : s["end"]] for s in r["offending"]) and len(r["offending"]) == 1
+
+
+def test_toxicity_of_odd_rows(spark):
+    labels = spark.createDataFrame([(3, 1), (6, 0), (None, 1), (8, None)], "doc_id bigint, toxic int")
+    weights = toxicity.trained(odd(spark), labels)
+    rows = toxicity.scored(odd(spark), weights).collect()
+    assert len(rows) == 11 and all(0 <= r["score"] <= 1 for r in rows)
+    assert toxicity.scored(table(spark, []), toxicity.trained(table(spark, []), labels)).count() == 0
+
+
+# --- 9 ---------------------------------------------------------------------------------------------------
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def python_spans(t):
+    found = []
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, t or ""):
+            number = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card":
+                digits = [int(c) * (i % 2 + 1) for i, c in enumerate(reversed(number))]
+                if not 16 <= len(number) <= 19 or sum(d - 9 if d > 9 else d for d in digits) % 10:
+                    continue
+            if kind == "phone" and not 8 <= len(number) <= 15:
+                continue
+            found.append((pii.KINDS.index(kind), m.start(), m.end()))
+    return found
+
+
+def test_base_spans_equal_python(spark):
+    texts = [None, "", "é a@b.c@d.e 1.2.3.4.5.6.7.8 a@b.c+x@d.e x@@y.z a@b", "4111 1111-1111 1111, 4111111111111112", "+1 (935) 555-6637. ++49 30 1234567 +1",
+             "300.1.1.1 0000255.1.1.1 256.1.1.1", "9" * 30_000, "a" * 20_000 + "@", "1 2-3 4 5 6 7 8 9 0 1 2 3 4 5 6 7", "😀 me@x.org 😀 4012888888881881 x",
+             "+" * 50 + "1 ((((2", "%@a-.b-c a@b..c"]
+    got = {r["doc_id"]: [tuple(s)[:3] for s in r["spans"] if s["base"]] for r in pii.personal_data(table(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == sorted(python_spans(t)), t
+
+
+def test_redaction_and_odd_rows(spark):
+    docs = table(spark, ["mail me@x.org or +1 (935) 555-6637 now", None, "clean"])
+    found = pii.personal_data(docs)
+    redacted = docs.join(found.select("doc_id", "spans"), "doc_id").select("doc_id", pii.redacted("text", "spans").alias("t"))
+    assert dict(redacted.collect()) == {0: "mail [EMAIL] or [PHONE] now", 1: None, 2: "clean"}
+    assert pii.personal_data(odd(spark)).count() == 11 and pii.personal_data(table(spark, [])).count() == 0
+
+
+# --- 10 --------------------------------------------------------------------------------------------------
+
+
+def test_forward_sums_all_segmentations(spark):
+    v = pieces.vocabulary()
+    score = np.where(np.isfinite(v.score), v.score, -1e9)
+    contents = {}
+    for i in np.flatnonzero(np.isfinite(v.score)):
+        contents.setdefault(v.content[v.start[i] : v.start[i + 1]].tobytes(), []).append(i)
+
+    def total(b):
+        alpha = [1.0] + [0.0] * len(b)
+        for e in range(1, len(b) + 1):
+            for s in range(e):
+                alpha[e] += alpha[s] * sum(math.exp(score[i]) for i in contents.get(b[s:e], []))
+        return math.log(alpha[-1])
+
+    texts = ["the thing", "Straße", "a" * 40]
+    body, offsets = text.utf8(pa.array(texts))
+    got = language.Likelihoods(v, score[None, :])(body, offsets)[0]
+    assert got == pytest.approx([total((" " + t).encode()) for t in texts])
+
+
+def test_language_on_held_out_and_odd_rows(spark):
+    rng = np.random.default_rng(4)
+    parts = {"aa": ["the", "and", "ing", "tion"], "bb": ["der", "ung", "ich", "sch"]}
+    texts = [" ".join("".join(rng.choice(parts[x], 2)) for _ in range(20)) for x in ("aa", "bb") * 100]
+    docs = table(spark, texts).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "aa").otherwise("bb"))
+    got = language.identify(docs, docs.where("doc_id < 100")).where("doc_id >= 100").join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.where("lang <> lang_pred").count() == 0
+    rows = language.identify(odd(spark), docs).collect()
+    assert len(rows) == 11 and {r["lang_pred"] for r in rows if r["doc_id"] in (0, 1, 2)} == {"und"}
+    assert {r["lang_pred"] for r in language.identify(odd(spark), docs.limit(0)).collect()} == {"und"}
+    assert language.identify(table(spark, []), docs).count() == 0
+
+
+# --- queries ---------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    import duckdb
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations"):
+        con.sql(f"CREATE VIEW {t} AS FROM '{folder}/{t}.parquet'")
+    want = con.sql(queries.ORACLES[name]).df()
+    got = queries.QUERIES[name](spark, folder).toPandas()
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    as_rows = lambda df: sorted(map(tuple, df[columns].astype(str).to_numpy().tolist()))
+    assert as_rows(got) == as_rows(want)
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    toxic = queries.toxic(spark, folder).where("predicted = 1").count()
+    first = corpus_pipeline.without_toxic(spark, docs, folder)
+    assert first.columns == docs.columns and first.count() == docs.count() - toxic
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    groups = brute_components([texts[i] for i in sorted(texts)])
+    ids = sorted(texts)
+    second = corpus_pipeline.one_of_each_group(spark, docs, folder)
+    assert sorted(r["doc_id"] for r in second.collect()) == [ids[i] for i, _, c in groups if i == c]
+    fourth = {r["doc_id"]: r["text"] for r in corpus_pipeline.without_personal_data(spark, docs, folder).collect()}
+    assert len(fourth) == len(texts) and not any(re.search(BASE["email"], t) for t in fourth.values())
+    assert all(fourth[i] == t for i, t in texts.items() if not re.search("[0-9@]", t))
+    last = corpus_pipeline.run(spark, folder)
+    assert 0 < last.count() < docs.count()
+    assert hashlib.sha256(last.first()["decoded"].encode()).hexdigest()
