@@ -11,8 +11,8 @@ ranked. The join asks for that in four orders and intersects the answers before
    prefix token in the first; of those, only pairs that also share one in the second and third are verified.
 
 Copies (equal sets) are one node. Among the documents with one prefix token, a pivot is compared with all others
-first; after that only pairs that are not yet in one component are, so a group of near copies costs
-a number of comparisons in proportion to its size, and no link between components is missed.
+first, then several more; after that only pairs that are not yet in one component are, so a group of near copies
+costs a number of comparisons in proportion to its size, and no link between components is missed.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = 5
 #: Ids of documents to read again are broadcast up to this many rows; beyond it Spark shuffles both sides.
 BROADCAST_ROWS = 1_000_000
-STAR_ROUNDS = 6
-#: Pairs per posting up to which all remaining pairs between components are compared at once.
+STAR_ROUNDS = 3
+#: Pairs per posting up to which all remaining pairs between components are compared at once, and pivots of a token after the first round.
 SETTLE = 8
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -237,9 +237,12 @@ def _linked(sets: DataFrame) -> DataFrame:
         if last:
             pairs = strays.join(rest.select("token", F.col("node").alias("b"), F.col("component").alias("cb")), "token").where("ca <> cb")
         else:
-            # Another pivot for each token, among those outside its largest component.
-            pivot = staged(strays.groupBy("token").agg(F.min_by("a", F.xxhash64("a", F.lit(turn))).alias("a")))
-            pairs = rest.join(pivot, "token").select("a", F.col("node").alias("b"))
+            # Pivots for each token, among those outside its largest component: one that joins most of a group, then several.
+            # Each is the first in an order of all nodes, so tokens of one group mostly have the same ones.
+            seeds = range(1) if turn == 0 else range(turn * SETTLE, (turn + 1) * SETTLE)
+            firsts = [F.min_by(F.struct("a", "ca"), F.xxhash64("a", F.lit(seed))) for seed in seeds]
+            pivot = staged(strays.groupBy("token").agg(F.array_distinct(F.array(*firsts)).alias("p"))).select("token", F.inline("p"))
+            pairs = rest.join(pivot, "token").where("component <> ca").select("a", F.col("node").alias("b"))
         labels = _joined(labels, staged(_links(ordered(pairs), prefixes, sets)))
         if last:
             break
