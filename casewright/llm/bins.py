@@ -27,9 +27,9 @@ def bin_count(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def packed(owners: np.ndarray, tokens: np.ndarray, extra: np.ndarray, bins: int) -> pa.RecordBatch:
-    """One row per bin. ``owners`` has one value per entry; equal owners stand together."""
-    where = ((tokens.view(np.uint64) & np.uint64(0xFFFFFFFF)) * np.uint64(bins)) >> np.uint64(32)
+def packed(owners: np.ndarray, tokens: np.ndarray, extra: np.ndarray, bins: int, by_owner: bool = False) -> pa.RecordBatch:
+    """One row per bin of tokens or of owners. ``owners`` has one value per entry; equal owners stand together."""
+    where = (((owners if by_owner else tokens).view(np.uint64) & np.uint64(0xFFFFFFFF)) * np.uint64(bins)) >> np.uint64(32)
     order = np.argsort(where.astype(np.int32), kind="stable")
     where, owners, tokens, extra = where[order], owners[order], tokens[order], extra[order]
     change = np.ones(len(where), bool)

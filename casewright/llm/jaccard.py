@@ -36,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = 5
 #: Ids of documents to read again are broadcast up to this many rows; beyond it Spark shuffles both sides.
 BROADCAST_ROWS = 1_000_000
-STAR_ROUNDS = 3
+STAR_ROUNDS = 6
 #: Pairs per posting up to which all remaining pairs between components are compared at once, and pivots of a token after the first round.
 SETTLE = 8
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -141,20 +141,26 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     """(node, n, p1, p2, p3): prefixes under three orders by frequency, without tokens that no other node has.
 
     Tokens of one node only are the rarest, so they come first in each order and use up the prefix.
+    The frequencies go back to the nodes packed too, one row from each bin of tokens to each bin of nodes.
     """
+    count = bins.bin_count(sets.sparkSession)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners, tokens, df = _distinct_entries(batches)
         use = df > 1
         owners, tokens, df = owners[use], tokens[use], df[use]
         order = np.argsort(owners, kind="stable")
+        if len(order):
+            yield bins.packed(owners[order], tokens[order], df[order].astype(np.int32), count, by_owner=True)
+
+    def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, tokens, df = bins.entries(batches)
+        order = np.argsort(owners, kind="stable")
         nodes, counts = np.unique(owners, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), lists(tokens[order], counts, pa.int64()), lists(df[order].astype(np.int32), counts, pa.int32())], names=["node", "t", "f"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), lists(tokens[order], counts, pa.int64()), lists(df[order], counts, pa.int32())], names=["node", "t", "f"])
 
-    found = _in_bins(sets).mapInArrow(frequencies, "node bigint, t array<bigint>, f array<int>")
-    gathered = found.groupBy("node").agg(F.flatten(F.collect_list("t")).alias("t"), F.flatten(F.collect_list("f")).alias("f"))
+    found = bins.dealt(_in_bins(sets).mapInArrow(frequencies, bins.SCHEMA))
+    gathered = found.mapInArrow(by_node, "node bigint, t array<bigint>, f array<int>")
     gathered = gathered.join(sets.select("node", "n"), "node")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
