@@ -1,4 +1,4 @@
-"""Connected components by alternating large-star and small-star steps over stored edges."""
+"""Connected components by contraction: each node joins its first neighbour, and the edges between the joined go on."""
 
 from __future__ import annotations
 
@@ -11,26 +11,30 @@ MAX_STEPS = 60
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b); the component is its smallest node.
+    """(node, component) for every node of ``edges`` (a, b) with another neighbour; the component is its smallest node.
 
-    Each step sends a node's neighbours to the smallest of them. The smallest is aggregated (combined
-    before the shuffle) and stored, so joining it back lets Spark split the neighbours of a hub.
+    In each step a node joins the first of itself and its neighbours in a pseudo-random order of all nodes, and
+    edges are carried over to what was joined. Two steps share an order, which is what a star needs, whatever
+    its size. The first neighbour is aggregated (combined before the shuffle) and stored, so joining it back
+    lets Spark split the neighbours of a hub. Repeated edges and loops are allowed; no edges give no rows.
     """
-    star = F.struct(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    now = staged(edges.where("a <> b").select(star.alias("e")).select("e.*").distinct())
-    for _ in range(MAX_STEPS):
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.distinct())
-        least = staged(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = staged(small.union(least.select("u", F.col("m").alias("v"))).distinct())
-        # Settled once every node has one edge and no node's edge leads to a node that has one itself.
-        out = now.groupBy("u").agg(F.count(F.lit(1)).alias("k"))
-        targets = now.select(F.col("v").alias("u")).distinct().withColumn("k", F.lit(1))
-        if out.union(targets).groupBy("u").agg(F.sum("k").alias("k"), F.count(F.lit(1)).alias("sides")).where("sides > 1").isEmpty() and out.where("k > 1").isEmpty():
+    between = F.col("a") != F.col("b")
+    now, moves = staged(edges.where(between).select("a", "b")), []
+    for step in range(MAX_STEPS):
+        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        place = lambda name: F.struct(F.xxhash64(name, F.lit(step // 2)).alias("rank"), F.col(name).alias("node"))  # noqa: B023, E731
+        first = both.groupBy("a").agg(F.min(place("b")).alias("first")).select(F.col("a").alias("node"), F.least(place("a"), F.col("first"))["node"].alias("to"))
+        moves.append(staged(first))
+        side = lambda name: moves[-1].select(F.col("node").alias(name), F.col("to").alias(f"{name}_to"))
+        moved = now.join(side("a"), "a").join(side("b"), "b").select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))
+        now = staged(moved.where(between).distinct())
+        if now.isEmpty():
             break
     else:
         raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = moves[0].withColumnRenamed("to", "component")
+    for later in moves[1:]:
+        # A node without edges left stays where it is.
+        out = out.join(later.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    smallest = staged(out.groupBy("component").agg(F.min("node").alias("least")))
+    return out.join(smallest, "component").select("node", F.col("least").alias("component"))
