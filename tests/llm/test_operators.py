@@ -266,6 +266,28 @@ def test_scores_of_odd_rows_and_word_baseline(spark):
             assert r["n_known"] == sum(t in counted for t in tokens)
 
 
+def test_every_context_counts(spark, monkeypatch):
+    """Contexts seen once, and rare ones of a large text, count as in one tree of all counts, in any number of blocks."""
+    rng = np.random.default_rng(3)
+    texts = ["the cat sat on the mat", "zq", None, "é 漢字", "a b " * 40_000, *["".join(rng.choice(list("abcd "), 60)) for _ in range(60)]]
+    docs = table(spark, texts)
+    total = {}
+    for r in ctw.gram_counts(docs.where("NOT coalesce(pmod(crc32(cast(cast(doc_id AS string) AS binary)), 5) = 1, false)")).collect():
+        for d in range(ctw.DEPTH + 1):
+            node = (d, (r["gram"] >> 8) & ((1 << 8 * d) - 1), r["gram"] & 255)
+            total[node] = total.get(node, 0) + r["n"]
+    depth, context, symbol = (np.array(x) for x in zip(*total))
+    score = ctw.Scorer(ctw.tree(depth, context, symbol, np.array(list(total.values()))))
+    body, offsets = text.utf8(pa.array(texts))
+    grams, row = ctw.byte_grams(body, offsets)
+    want = np.bincount(row, score(grams)) * np.log10(2)
+    monkeypatch.setattr(ctw, "TOGETHER", 50)
+    for size in (1 << 23, 1):
+        monkeypatch.setattr(ctw, "BLOCK", size)
+        got = {r["doc_id"]: r["score"] for r in ctw.scored(docs).collect()}
+        assert [got[i] for i in range(len(texts))] == pytest.approx(list(want), rel=1e-4)
+
+
 # --- 7 ---------------------------------------------------------------------------------------------------
 
 
