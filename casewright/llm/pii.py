@@ -5,9 +5,11 @@ further, overlapping spans; boosted trees score each by its format and context,
 score into a share of true cases, and spans above a threshold are added. Only DataFrame functions
 and the trees of ``pyspark.ml``.
 
-There are no labelled spans, so the trees learn from the base patterns: a proposed span that a valid base
-match explains is a positive, any other a negative. Format features that would only repeat the
-checks of the base patterns (checksum, leading plus) are withheld.
+There are no labelled spans, so the trees learn from the base patterns: a proposed span that a valid base match of its
+kind explains is a positive, and so are its rewritten forms (plus dropped, other separators, shorter cards); one that
+fails a hard check (``plausible``) is a negative and is never added. All others are unlabelled, so how often a format
+occurs that the base patterns miss does not count against it. Checksums are no feature; of numbers that fail the checksum
+of cards there are nine for each that passes by chance, so each weighs a ninth.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ GENERATORS = {
 #: What a text must contain for a pattern to be tried at all.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": None}
 FEATURES = ["chars", "digits", "letters", "separators", "digit_share", "dots", "longest_run", "before_space", "after_space",
-            "before_alnum", "after_alnum", "hex_near", "words_near", "digits_near", "is_email", "is_ip", "is_card", "is_phone"]
+            "before_alnum", "after_alnum", "is_email", "is_ip", "is_card", "is_phone"]
 TRAIN_ROWS = 20_000
 CONTEXT = 24
 THRESHOLD = 0.9
@@ -84,6 +86,42 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def plausible(kind: Column, value: Column, before: Column, after: Column) -> Column:
+    """Whether a proposed span passes the hard checks of its kind."""
+    number = digits(value)
+    inside = before.rlike("[0-9A-Za-z]$") | after.rlike("^[0-9A-Za-z]")
+    dated = value.rlike(r"^(19|20)[0-9]{2}[\x20.-]+[0-9]{1,2}[\x20.-]+[0-9]{1,2}([^0-9]|$)") | value.rlike(r"^[0-9]{1,3}([\x20.][0-9]{3})+$")
+    grouped = value.rlike(r"^[+(]") | value.rlike("[0-9][^0-9]+[0-9]+[^0-9]+[0-9]")
+    checks = {
+        "email": value.rlike(r"@[^@]*[^@.]\.[^@.]"),
+        "ip": ~inside & value.rlike(r"^[0-9]+(\.[0-9]+){3}$") & valid("ip", value),
+        "card": ~inside & F.length(number).between(12, 19) & luhn(number),
+        "phone": ~inside & valid("phone", value) & grouped & ~dated & ~value.rlike("[^0-9][0-9]([^0-9]|$)"),
+    }
+    passed = F.lit(False)
+    for i, k in enumerate(KINDS):
+        passed = F.when(kind == i, checks[k]).otherwise(passed)
+    return passed
+
+
+def _rewritten(kind: Column, value: Column) -> Column:
+    """The value of a true case, and forms of it that the base patterns miss."""
+    number = digits(value)
+    stem = F.substring(number, 1, 14)
+    last = F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(stem, d.cast("string"))), luhn)
+    short = F.get(last, 0)
+    in_groups = lambda n, sep: F.regexp_replace(n, "^([0-9]{4})([0-9]{4,6})([0-9]{4})?([0-9]{4,5})$", f"$1{sep}$2{sep}$3$4")
+    parts = lambda n, shape: F.regexp_replace(F.right(n, F.lit(10)), "^([0-9]{2,3})([0-9]{3})([0-9]{3,4})$", shape)
+    dotted = F.regexp_replace(number, "([0-9]{4})(?=[0-9])", "$1.")
+    cards = [value, dotted, short, in_groups(short, " "), in_groups(short, "-"), in_groups(short, ".")]
+    phones = [value, F.regexp_replace(value, r"^\+[0-9]+[\x20.-]*(?=\()", ""), F.regexp_replace(value, r"^\+", ""), *[parts(number, x) for x in ("($1) $2-$3", "($1)$2-$3", "$1-$2-$3", "$1.$2.$3", "$1 $2 $3")]]
+    forms = {"email": [value, F.concat(F.lit("ü"), value)], "ip": [value], "card": cards, "phone": phones}
+    out = F.array(value)
+    for i, k in enumerate(KINDS):
+        out = F.when(kind == i, F.array_distinct(F.array(*forms[k]))).otherwise(out)
+    return out
+
+
 def _tagged(text: str, kind: str, pattern: str, base: bool) -> Column:
     """Matches as (kind, start, end, value, before, after); only where the text can have any."""
     around = lambda m: F.struct(
@@ -112,33 +150,38 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def _described(spans: DataFrame) -> DataFrame:
-    """Format and context features of spans, as doubles."""
+    """Features of the format and of the borders of spans, as doubles. What else stands near is the manner of a source, not a mark of a kind."""
     value = F.col("value")
     count = lambda pattern, of=value: F.length(of) - F.length(F.regexp_replace(of, pattern, ""))
-    near = F.concat_ws(" ", "before", "after")
     runs = F.transform(F.split(value, "[^0-9]+"), lambda p: F.length(p))
     shapes = {
         "chars": F.length(value), "digits": count("[0-9]"), "letters": count("[A-Za-z]"), "separators": count("[^0-9A-Za-z]"),
         "digit_share": count("[0-9]") / F.greatest(F.length(value), F.lit(1)), "dots": count(r"\."), "longest_run": F.array_max(runs),
         "before_space": F.col("before").rlike(r"(^|\s)$"), "after_space": F.col("after").rlike(r"^(\s|$)"),
         "before_alnum": F.col("before").rlike("[0-9A-Za-z]$"), "after_alnum": F.col("after").rlike("^[0-9A-Za-z]"),
-        "hex_near": near.rlike("[0-9a-f]{6}"), "words_near": F.size(F.split(near, r"\s+")), "digits_near": count("[0-9]", near),
     }
     shapes |= {f"is_{k}": F.col("kind") == i for i, k in enumerate(KINDS)}
     return spans.select("*", *[shapes[f].cast("double").alias(f) for f in FEATURES])
 
 
 def _fit(described: DataFrame, rows: int) -> tuple[GBTClassificationModel | None, list[tuple[float, float]]]:
-    """Trees on half of a bounded sample; on the other half, the share of true cases by score, made monotone."""
-    sample = staged(described.orderBy(F.xxhash64("value", "before"), "value", "before", "after").limit(rows).select(*FEATURES, F.col("explained").cast("double").alias("label"), F.pmod(F.xxhash64("value"), F.lit(2)).alias("half")))
+    """Trees on half of a bounded sample of labelled spans; on the other half, the share of true cases by score, made monotone."""
+    columns = ["kind", "value", "before", "after", "label"]
+    labelled = described.withColumn("label", F.when(F.col("same"), 1.0).when(~F.col("explained") & ~F.col("passes"), 0.0))
+    labelled = labelled.where("label IS NOT NULL").select(*columns).distinct()
+    drawn = labelled.orderBy(F.xxhash64("value", "before"), "value", "before", "after", "kind").limit(rows).withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2)))
+    forms = F.when(F.col("label") == 1, _rewritten(F.col("kind"), F.col("value"))).otherwise(F.array("value"))
+    chance = (F.col("label") == 0) & (F.col("kind") == KINDS.index("card")) & F.length(digits(F.col("value"))).between(12, 19)
+    drawn = drawn.withColumn("value", F.explode(forms)).withColumn("weight", F.when(chance, 1 / 9).otherwise(1.0))
+    sample = staged(_described(drawn).select(*FEATURES, "label", "half", "weight"))
     counts = {(r["half"], r["label"]): r["count"] for r in sample.groupBy("half", "label").count().collect()}
     if any(not counts.get((h, float(y))) for h in (0, 1) for y in (0, 1)):
         return None, []
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    model = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=5).fit(vector.transform(sample.where("half = 0")).coalesce(1))
+    model = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=5, weightCol="weight").fit(vector.transform(sample.where("half = 0")).coalesce(1))
     scored = model.transform(vector.transform(sample.where("half = 1")))
     steps = F.floor(vector_to_array("probability")[1] * 20) / 20
-    table = scored.groupBy(steps.alias("s")).agg(F.sum("label").alias("y"), F.count(F.lit(1)).alias("n")).orderBy("s").collect()
+    table = scored.groupBy(steps.alias("s")).agg(F.sum(F.col("label") * F.col("weight")).alias("y"), F.sum("weight").alias("n")).orderBy("s").collect()
     blocks: list[list[float]] = []
     for r in table:  # at most 21 steps; neighbours that fall are pooled
         blocks.append([float(r["s"]), float(r["y"]), float(r["n"])])
@@ -163,11 +206,14 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     covers = lambda s, b: (s["start"] < b["end"]) & (b["start"] < s["end"])
     proposed = F.transform(
         F.filter("found", lambda s: ~s["base"]),
-        lambda s: F.struct(s.alias("s"), F.exists(base, lambda b: covers(s, b)).alias("explained")),
+        lambda s: F.struct(
+            s.alias("s"), F.exists(base, lambda b: covers(s, b)).alias("explained"),
+            F.exists(base, lambda b: covers(s, b) & (s["kind"] == b["kind"])).alias("same"),
+        ),
     )
-    described = staged(_described(spans.select("_key", "_text", F.explode(proposed).alias("p")).select("_key", "_text", "p.s.*", "p.explained")))
+    described = staged(_described(spans.select("_key", "_text", F.explode(proposed).alias("p")).select("_key", "_text", "p.s.*", "p.explained", "p.same")).withColumn("passes", plausible(*map(F.col, ("kind", "value", "before", "after")))))
     model, calibration = _fit(described, train_rows)
-    fresh = described.where("NOT explained")
+    fresh = described.where("NOT explained AND passes")
     if model is None:
         fresh = fresh.where("false").withColumn("share", F.lit(0.0))
     else:

@@ -385,6 +385,32 @@ def test_redaction_and_odd_rows(spark):
     assert pii.personal_data(odd(spark)).count() == 11 and pii.personal_data(table(spark, [])).count() == 0
 
 
+def test_formats_the_base_patterns_miss_are_added_however_often(spark):
+    rng = np.random.default_rng(6)
+
+    def card(n):
+        stem = "".join(map(str, rng.integers(1, 10, n - 1)))
+        total = sum(d - 9 if d > 9 else d for d in (int(c) * (2 - i % 2) for i, c in enumerate(reversed(stem))))
+        return stem + str(-total % 10)
+
+    texts, planted = [], {}
+    for i in range(600):
+        a, b, c = (int(x) for x in rng.integers((200, 200, 1000), (999, 999, 9999)))
+        wrong = card(16)
+        wrong = wrong[:-1] + str((int(wrong[-1]) + 5) % 10)
+        mine = [f"call +1 ({a}) {b}-{c} now", f"card {card(16)} paid", f"id {wrong} end", f"hash {rng.bytes(12).hex()} done", f"on 2024-0{a % 9 + 1}-1{b % 9} we"]
+        if i % 3 < 2:
+            four = card(16)
+            planted[i] = f"({a}) {b}-{c}" if i % 2 else ".".join(four[j : j + 4] for j in range(0, 16, 4)) if i % 4 else card(15)
+            mine = [f"ask {planted[i]} please", *mine[i % 2 :: 2]]
+        texts.append(" and ".join(mine))
+    rows = {r["doc_id"]: r["spans"] for r in pii.personal_data(table(spark, texts)).collect()}
+    for i, value in planted.items():
+        added = [texts[i][s["start"] : s["end"]] for s in rows[i] if not s["base"]]
+        assert added == [value], texts[i]
+    assert not [s for i in rows if i not in planted for s in rows[i] if not s["base"]]
+
+
 # --- 10 --------------------------------------------------------------------------------------------------
 
 
