@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from casewright.session import staged
 
 BUCKETS = 1 << 16
-#: At most so many trusted documents are counted, those first in the order of a hash of the id.
-TRUSTED_ROWS = 50_000
 THRESHOLD = -0.1
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -68,15 +66,14 @@ def rule_counts(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
     return counted.withColumn("n_repeat_words", repeats).drop("_w", "_o")
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", rows: int = TRUSTED_ROWS) -> list[float]:
+def log_ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text") -> list[float]:
     """Log of trusted over raw probability for every bucket, add-one smoothed; ``BUCKETS`` numbers.
 
-    ``trusted`` has the keys of trusted documents; at most ``rows`` of them are used, a bound that
-    also holds for what is broadcast. Raw counts are over all documents.
+    ``trusted`` has the keys of trusted documents. Raw counts are over all documents, trusted ones over all trusted.
     """
-    known = trusted.select(F.col(key).alias("_key")).where("_key IS NOT NULL").distinct().orderBy(F.xxhash64("_key"), "_key").limit(rows)
+    known = trusted.select(F.col(key).alias("_key")).where("_key IS NOT NULL").distinct()
     grams = docs.select(F.col(key).alias("_key"), words_of(text).alias("words")).join(
-        F.broadcast(known.withColumn("_good", F.lit(1))), "_key", "left"
+        known.withColumn("_good", F.lit(1)), "_key", "left"
     )
     counts = grams.select("_good", F.explode(hashed_ngrams("words")).alias("bucket")).groupBy("bucket")
     counts = counts.agg(F.count(F.lit(1)).alias("raw"), F.count("_good").alias("good"))
@@ -90,7 +87,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: s
 
 
 def judged(
-    docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, rows: int = TRUSTED_ROWS
+    docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
     """(key, the counts of ``rule_counts``, base_failed, log_ratio, kept) for each document row.
 
@@ -99,7 +96,7 @@ def judged(
     their row; with no trusted documents every ratio tends to the raw one, with its smoothing.
     """
     # A constant of the plan: one parsed array, looked up by position.
-    ratios = F.from_json(F.lit(str(log_ratios(docs, trusted, key, text, rows))), "array<double>")
+    ratios = F.from_json(F.lit(str(log_ratios(docs, trusted, key, text))), "array<double>")
     counted = rule_counts(docs, text, (key,)).withColumn("_g", hashed_ngrams("words"))
     total = F.aggregate("_g", F.lit(0.0), lambda acc, b: acc + F.get(ratios, b))
     counted = counted.withColumn("log_ratio", F.when(F.size("_g") > 0, total / F.size("_g")).otherwise(0.0))

@@ -313,6 +313,12 @@ def test_quality_prefers_what_is_trusted(spark):
     assert quality.judged(odd(spark), trusted).count() == 11 and quality.judged(table(spark, []), trusted).count() == 0
 
 
+def test_every_trusted_document_is_counted(spark):
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("one").alias("text"))
+    # Every word is trusted: both sides are the same counts, so every ratio is 0.
+    assert quality.log_ratios(docs, docs.select("doc_id")) == pytest.approx([0.0] * quality.BUCKETS)
+
+
 # --- 8 ---------------------------------------------------------------------------------------------------
 
 
