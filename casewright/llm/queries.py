@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with SQL where SQL can express them."""
+"""The registered queries of the training-data operators, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import chat, ctw, decontaminate, jaccard, language, pieces, pii, quality, shards, toxicity
+from casewright.llm import chat, ctw, decontaminate, jaccard, language, mixing, pieces, pii, quality, resampling, shards, sql, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,6 +101,14 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, learned).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _ascii_lower(text: str) -> str:
     return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -169,9 +177,13 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": toxic,
     "op9_pii": personal,
     "op10_language_id": languages,
+    "op11_source_mixing": source_mixing,
+    "op12_importance_resampling": importance_resampling,
 }
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": JACCARD_SQL,
     "op4_decontamination": DECONTAMINATION_SQL,
     "op5_chat_formatting": CHAT_SQL,
+    "op11_source_mixing": sql.MIXING_SQL,
+    "op12_importance_resampling": sql.RESAMPLING_SQL,
 }
