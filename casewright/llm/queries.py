@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import chat, ctw, decontaminate, jaccard, language, mixing, pieces, pii, quality, resampling, shards, sql, toxicity
+from casewright.llm import chat, ctw, decontaminate, jaccard, language, mixing, pieces, pii, prefix_trie, quality, resampling, shards, sql, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +109,12 @@ def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = prefix_trie.numbered(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    return prefix_trie.trie(*prefix_trie.with_shared_start(steps, conv - conv % 100, remainder("conv_id", 6), most=5))
+
+
 def _ascii_lower(text: str) -> str:
     return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -179,6 +185,7 @@ QUERIES: dict[str, Query] = {
     "op10_language_id": languages,
     "op11_source_mixing": source_mixing,
     "op12_importance_resampling": importance_resampling,
+    "op13_conversation_trie": conversation_trie,
 }
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": JACCARD_SQL,
@@ -186,4 +193,5 @@ ORACLES: dict[str, str] = {
     "op5_chat_formatting": CHAT_SQL,
     "op11_source_mixing": sql.MIXING_SQL,
     "op12_importance_resampling": sql.RESAMPLING_SQL,
+    "op13_conversation_trie": sql.TRIE_SQL,
 }

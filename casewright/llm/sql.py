@@ -79,3 +79,28 @@ scored AS (
 ), placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (doc_id)
 """
+
+TRIE_SQL = f"""
+WITH {CRC_TABLE}, raw AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (SELECT conv_id, conv_id - conv_id % 100 AS leader, {crc32('CAST(conv_id AS VARCHAR)')} % 6 AS h FROM (SELECT DISTINCT conv_id FROM raw), crc_table),
+built AS (
+  SELECT c.conv_id, p, 0 AS part, role, text FROM c JOIN raw ON raw.conv_id = leader AND p <= h
+  UNION ALL SELECT c.conv_id, p, 1, role, text FROM c JOIN raw ON raw.conv_id = c.conv_id AND p > h
+), steps AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS depth, role, text FROM built),
+paths AS (
+  SELECT conv_id, depth, length(text) AS chars, string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM steps
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), nodes AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM paths GROUP BY path, depth),
+children AS (SELECT substr(path, 1, length(path) - 128) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+own AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * chars AS saved FROM nodes n LEFT JOIN children USING (path)),
+up AS (SELECT substr(path, 1, 128 * k) AS path, n_children, saved FROM own, LATERAL (SELECT unnest(range(0, depth + 1)) AS k)),
+sums AS (SELECT path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM up GROUP BY path),
+ends AS (
+  SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, arg_max(path, depth) AS path FROM paths GROUP BY conv_id) GROUP BY path
+)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM own o JOIN sums USING (path) LEFT JOIN ends USING (path) LEFT JOIN nodes p ON o.depth > 0 AND p.path = substr(o.path, 1, length(o.path) - 128)
+"""
