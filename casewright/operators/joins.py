@@ -34,9 +34,14 @@ def left_join_default(left: DataFrame, right: DataFrame, key: str, defaults: Map
     )
 
 
-def null_safe_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Attach a per-key lookup; NULL keys match each other. The lookup is measured, never hinted."""
-    sized = measured(lookup)
+def null_safe_lookup(
+    df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", stored: bool = False
+) -> DataFrame:
+    """Attach a per-key lookup; NULL keys match each other.
+
+    The lookup is measured, never hinted; a ``stored`` table has a known size already.
+    """
+    sized = lookup if stored else measured(lookup)
     renamed = sized.select(
         *[F.col(k).alias(f"_lookup_{k}") for k in keys], *[c for c in sized.columns if c not in keys]
     )

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
+    OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from casewright.operators.joins import null_safe_lookup
 from casewright.operators.ordering import with_global_rank
+from casewright.operators.selection import Cut, select_cuts
 
 # Training settings.
 SEED = 42
@@ -58,11 +59,16 @@ def _modes(train: DataFrame, columns: list[str]) -> dict[str, str | None]:
 def build_preprocessor(train: DataFrame, columns: ModelColumns, drop_first: bool = False) -> list:
     """Pipeline stages: numeric median fill and standardisation, categorical mode fill and one-hot.
 
-    A level that was not seen in training becomes all zeros. ``drop_first`` leaves out the
+    ``train`` is a stored table; the medians are exact. A level that was not seen in training becomes all zeros. ``drop_first`` leaves out the
     alphabetically first level of each category, as in a dummy coding.
     """
     modes = _modes(train, columns.categorical)
-    casts = [f"CAST(`{c}` AS DOUBLE) AS `num__{c}`" for c in columns.numeric]
+    numbers = train.select(*[F.col(c).cast("double").alias(c) for c in columns.numeric])
+    numbers = numbers.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns.numeric])
+    medians = select_cuts(numbers, {c: Cut(c, 0.5) for c in columns.numeric}, reread=True)
+    known = {c: f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE))" for c in columns.numeric}
+    # A column without any value is 0 everywhere.
+    casts = [f"coalesce({known[c]}, CAST('{medians[c] or 0.0!r}' AS DOUBLE)) AS `num__{c}`" for c in columns.numeric]
     for c in columns.categorical:
         fill = _sql_text(modes[c] if modes[c] is not None else "missing")
         casts.append(f"coalesce(CAST(`{c}` AS STRING), {fill}) AS `cat__{c}`")
@@ -70,10 +76,8 @@ def build_preprocessor(train: DataFrame, columns: ModelColumns, drop_first: bool
     assembled = []
     if columns.numeric:
         names = [f"num__{c}" for c in columns.numeric]
-        filled = [f"filled__{c}" for c in columns.numeric]
         stages += [
-            Imputer(strategy="median", inputCols=names, outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="numeric"),
+            VectorAssembler(inputCols=names, outputCol="numeric"),
             StandardScaler(inputCol="numeric", outputCol="scaled", withMean=True, withStd=True),
         ]
         assembled.append("scaled")

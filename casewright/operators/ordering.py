@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.functions.expressions import ColumnLike, as_column
+from casewright.operators.selection import Cut, cut_column, select_cuts
 from casewright.session import staged
 
 # monotonically_increasing_id keeps the row's position inside its partition in the low 33 bits.
@@ -91,14 +92,10 @@ def queue_head(queue: DataFrame, n: int, rank: str = "priority_rank") -> DataFra
 def quantile(df: DataFrame, column: str, q: float, relative_error: float = 0.0) -> DataFrame:
     """One-row DataFrame ``(cut)`` with a quantile of the non-NULL values.
 
-    With an error bound it is a mergeable sketch; with 0 it is the exact discrete quantile, found by
-    counting equal values and accumulating the counts in global order.
+    With an error bound it is a mergeable sketch in one pass; with 0 it is the exact discrete quantile, selected in rounds.
     """
-    values = df.select(F.col(column).alias("value")).where(F.col(column).isNotNull())
     if relative_error > 0:
         accuracy = int(round(1 / relative_error))
-        return values.agg(F.percentile_approx("value", q, accuracy).alias("cut"))
-    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    running = with_running_totals(counts, ["value"], {"upto": "n"})
-    total = running.agg(F.sum("n").alias("t")).scalar()
-    return running.where(F.col("upto") >= F.lit(q) * total).agg(F.min("value").alias("cut"))
+        return df.agg(F.percentile_approx(column, q, accuracy).alias("cut"))
+    cut = Cut(column, q)
+    return df.sparkSession.range(1).select(cut_column(df, cut, select_cuts(df, {"cut": cut})["cut"]).alias("cut"))

@@ -91,9 +91,10 @@ def value_counts(df: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def group_stats(
-    df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], digits: int | Mapping[str, int] | None = 6
+    df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], digits: int | Mapping[str, int] | None = 6,
+    rows: str | None = None,
 ) -> DataFrame:
-    """One row per group with averages of expressions.
+    """One row per group with averages of expressions, and with its number of ``rows`` under that name.
 
     Averages are rounded so that a later comparison between two groups does not hinge on the order
     in which partial sums were merged. ``digits`` is one number or one per statistic.
@@ -102,6 +103,8 @@ def group_stats(
     if digits is not None:
         places = digits if isinstance(digits, Mapping) else dict.fromkeys(stats, digits)
         values = {name: F.round(value, places[name]) for name, value in values.items()}
+    if rows is not None:
+        values[rows] = F.count(F.lit(1))
     return df.groupBy(*keys).agg(*[value.alias(name) for name, value in values.items()])
 
 
@@ -142,9 +145,10 @@ def gap_to_group(
     return joined.withColumn(name, gap if digits is None else F.round(gap, digits)).drop("_mean")
 
 
-def below_quantile_flag(df: DataFrame, column: str, cut: DataFrame, name: str) -> DataFrame:
-    """1 where the column is below a one-row quantile, else 0."""
-    return df.withColumn(name, F.when(F.col(column) < cut.scalar(), 1).otherwise(0))
+def below_quantile_flag(df: DataFrame, column: str, cut: DataFrame | Column, name: str) -> DataFrame:
+    """1 where the column is below a quantile (a one-row table or a value), else 0."""
+    limit = cut if isinstance(cut, Column) else cut.scalar()
+    return df.withColumn(name, F.when(F.col(column) < limit, 1).otherwise(0))
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

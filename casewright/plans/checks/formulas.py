@@ -11,7 +11,7 @@ from casewright.plans import features as f
 from casewright.plans.checks.registry import check
 from casewright.plans.checks.sql import CONTRIB, FEAT, SCORED, SUBJ, half_up, risk
 from casewright.plans.proxy import (
-    COEFFICIENTS, FIRST, MONEY, QUANTILE_ERROR, SECOND, SUBJECT, entity_table, explained_rows,
+    COEFFICIENTS, FIRST, MONEY, SECOND, SUBJECT, entity_table, explained_rows,
     feature_rows, score_columns, scored_rows, subjects, table,
 )
 from casewright.session import staged
@@ -213,7 +213,7 @@ VIEW_BASE = ["entity_id", "course", "debtor", "paid", "scholar", "enr1", "appr1"
 
 
 def horizon_rows(spark, sf_dir):
-    return f.horizon_features(entity_table(spark, sf_dir), SUBJECT, relative_error=QUANTILE_ERROR)
+    return f.horizon_features(entity_table(spark, sf_dir), SUBJECT)
 
 
 @check("feature_view_early", f"WITH {HORIZON} SELECT " + ", ".join(VIEW_BASE + f.EARLY_FEATURES) + " FROM h")

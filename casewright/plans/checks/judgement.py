@@ -11,8 +11,9 @@ from casewright.plans.checks.registry import check
 from casewright.plans.checks.sql import (
     AUDIT, AUDITED, CONTRIB, REASONS, SCORED, SUBJ, TOP, half_up, in_list, parity_cte, rates_cte,
 )
+from casewright.plans.features import feature_table
 from casewright.plans.proxy import (
-    COEFFICIENTS, MODEL_NAMES, audit, explained_rows, explanations, feature_rows,
+    COEFFICIENTS, MODEL_NAMES, SUBJECT, audit, entity_table, explained_rows, explanations,
     labelled_documents, score_columns, scored_rows, subjects, table,
 )
 from casewright.session import staged
@@ -202,8 +203,9 @@ PROTECTED = ["gender", "age"]
 
 
 def prepared(spark, sf_dir):
-    rows = feature_rows(spark, sf_dir).withColumn("actual", F.when(F.col("target") == "Dropout", 1).otherwise(0))
-    parts = staged(learning.stratified_split(rows, "actual", "entity_id"))
+    rows = entity_table(spark, sf_dir).withColumn("actual", F.when(F.col("target") == "Dropout", 1).otherwise(0))
+    split = staged(learning.stratified_split(rows, "actual", "entity_id"))
+    parts = staged(feature_table(split, SUBJECT, fit_on=split.where(F.col("is_test") == 0)))
     train = staged(learning.class_weights(parts.where(F.col("is_test") == 0), "actual"))
     columns = learning.ml_columns(parts, CATEGORIES, OUTSIDE_MODEL, PROTECTED)
     return parts, train, columns, learning.build_preprocessor(train, columns)

@@ -11,7 +11,7 @@ from casewright.operators.ordering import priority_rank, quantile, top_n, with_r
 from casewright.plans.checks.registry import check
 from casewright.plans.checks.sql import CATALOG, CONTRIB, FEAT, REASONS, SCORED, SUBJ, TOP, half_up
 from casewright.plans.proxy import (
-    AS_OF, COEFFICIENTS, MODEL_NAMES, QUANTILE_ERROR, decided, entity_table, explained_rows, explanations,
+    AS_OF, COEFFICIENTS, MODEL_NAMES, decided, entity_table, explained_rows, explanations,
     feature_rows, periods, score_columns, scored_rows, send_log, subjects, table, teams,
 )
 from casewright.session import staged
@@ -243,7 +243,7 @@ def quantile_exact(spark, sf_dir):
 
 @check("quantile_sketch", "SELECT quantile_disc(o_totalprice, 0.75) AS cut FROM orders")
 def quantile_sketch(spark, sf_dir):
-    return quantile(table(spark, sf_dir, "orders"), "o_totalprice", 0.75, QUANTILE_ERROR)
+    return quantile(table(spark, sf_dir, "orders"), "o_totalprice", 0.75)
 
 
 # --- group statistics -------------------------------------------------------------------------

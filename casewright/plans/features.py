@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewright.functions import expressions as x
-from casewright.operators.ordering import quantile
-from casewright.operators.statistics import below_quantile_flag, with_group_stats
+from casewright.operators.fitted import fit_group_statistics, with_out_of_fold_mean
+from casewright.operators.selection import Cut, cut_column, select_cuts
+from casewright.operators.statistics import below_quantile_flag
 
 
 class Period(NamedTuple):
@@ -106,29 +107,25 @@ def flag_columns(second: Period, application_order: str) -> dict[str, Column]:
 
 
 def group_context(
-    df: DataFrame, entity: Entity, relative_error: float = 0.01, fit_on: DataFrame | None = None
+    df: DataFrame, entity: Entity, fit_on: DataFrame | None = None, state: str | None = None
 ) -> DataFrame:
     """Group means, the gap to them, and the flag for groups that mark low.
 
-    The quantile runs over entities, so large groups weigh more; pass the training rows as ``fit_on``
-    to keep test rows out of the statistics.
+    The quantile runs over entities, so large groups weigh more: it is selected on the group table, weighted by
+    rows. Pass the training rows as ``fit_on`` to keep test rows out of the statistics; ``state`` names a table to keep them in.
     """
     stats = {
         "course_rigor_score": x.mean_of(entity.first.grade, entity.second.grade),
         "competitive_density": F.col(entity.admission),
     }
-    joined = with_group_stats(df, [entity.group], stats, fit_on=fit_on)
-    if fit_on is None:
-        fitted = joined
-    else:
-        fitted = with_group_stats(fit_on, [entity.group], stats)
-    cut = quantile(fitted, "course_rigor_score", 0.25, relative_error)
-    flagged = below_quantile_flag(joined, "course_rigor_score", cut, "grade_deflation_flag")
+    fitted = fit_group_statistics(df if fit_on is None else fit_on, [entity.group], stats, name=state)
+    cut = fitted.quantile("course_rigor_score", 0.25)
+    flagged = below_quantile_flag(fitted.apply(df), "course_rigor_score", cut, "grade_deflation_flag")
     return flagged.withColumn("admission_gap", x.delta(entity.admission, "course_rigor_score"))
 
 
 def feature_table(
-    df: DataFrame, entity: Entity, relative_error: float = 0.01, fit_on: DataFrame | None = None
+    df: DataFrame, entity: Entity, fit_on: DataFrame | None = None, state: str | None = None
 ) -> DataFrame:
     """The full feature table from the joined or validated entity rows."""
     first, second = entity.first, entity.second
@@ -146,7 +143,7 @@ def feature_table(
             }
         )
     )
-    return group_context(wide, entity, relative_error, fit_on)
+    return group_context(wide, entity, fit_on, state)
 
 
 # --- horizon-aware variant: what is known after the first period, and the full picture -------------
@@ -197,37 +194,42 @@ def composite_risk(stress: str, absences: str, approval_rate: str, grade: str, r
 
 
 def horizon_features(
-    df: DataFrame, entity: Entity, outcome: str = "target", relative_error: float = 0.05,
-    extra: Mapping[str, Column] | None = None,
+    df: DataFrame, entity: Entity, outcome: str = "target", extra: Mapping[str, Column] | None = None,
+    fit_rows: Column | None = None, folds: int = 5,
 ) -> DataFrame:
-    """All early and late features on one frame; choose a view with ``feature_view``."""
+    """All early and late features on one frame; choose a view with ``feature_view``.
+
+    ``df`` is a stored table. With ``fit_rows`` group averages and quantiles are taken from those rows only, and the group's rate of
+    the outcome is an out-of-fold mean for them, so no row sees its own outcome; without, all rows are averaged, the row itself included.
+    """
+    source = df if fit_rows is None else df.where(fit_rows)
     first, second, money = entity.first, entity.second, entity.money
     dropped = F.when(F.col(outcome) == "Dropout", F.lit(1.0)).otherwise(F.lit(0.0))
     taken = F.when(F.col(first.enrolled) == 0, F.lit(1)).otherwise(F.col(first.enrolled))
-    with_context = with_group_stats(
-        df, [entity.group],
-        {
-            "course_avg_grade_sem1": F.col(first.grade),
-            "course_avg_grade_overall": x.mean_of(first.grade, second.grade),
-            "course_approval_rate": F.lit(100.0) * F.col(first.approved) / taken,
-            "competitive_density": F.col(entity.admission),
-            "course_dropout_rate": dropped,
-        },
-        digits={
-            "course_avg_grade_sem1": 2, "course_avg_grade_overall": 2, "course_approval_rate": 2,
-            "competitive_density": 2, "course_dropout_rate": 4,
-        },
-    )
-    low_mark = quantile(df, first.grade, 0.25, relative_error)
-    tier_low = quantile(df, entity.admission, 0.25, relative_error)
-    tier_high = quantile(df, entity.admission, 0.75, relative_error)
+    averages = {
+        "course_avg_grade_sem1": F.col(first.grade),
+        "course_avg_grade_overall": x.mean_of(first.grade, second.grade),
+        "course_approval_rate": F.lit(100.0) * F.col(first.approved) / taken,
+        "competitive_density": F.col(entity.admission),
+    }
+    digits = dict.fromkeys(averages, 2)
+    if fit_rows is None:
+        averages["course_dropout_rate"], digits["course_dropout_rate"] = dropped, 4
+    with_context = fit_group_statistics(source, [entity.group], averages, digits).apply(df)
+    if fit_rows is not None:
+        with_context = with_out_of_fold_mean(
+            with_context, [entity.group], dropped, entity.key, "course_dropout_rate", fit_rows, folds, digits=4
+        )
+    cuts = {"low_mark": Cut(first.grade, 0.25), "tier_low": Cut(entity.admission, 0.25), "tier_high": Cut(entity.admission, 0.75)}
+    found = select_cuts(source, cuts, reread=True)
+    low_mark, tier_low, tier_high = (cut_column(source, cut, found[name]) for name, cut in cuts.items())
     admission = F.col(entity.admission)
     base = with_context.withColumns(
         {
             "financial_stress_index": stress_two_part(money),
             "financial_risk_score": financial_risk_score(money),
             "admission_tier": x.case_rules(
-                [(admission >= tier_high.scalar(), "High"), (admission >= tier_low.scalar(), "Mid")], "Low"
+                [(admission >= tier_high, "High"), (admission >= tier_low, "Mid")], "Low"
             ),
             "sem1_approval_rate": x.null_ratio(first.approved, first.enrolled, 100.0, 2),
             "sem1_evaluation_rate": x.null_ratio(first.evaluated, first.enrolled, 1.0, 4),
@@ -243,7 +245,7 @@ def horizon_features(
             "total_absenteeism": x.total(first.missed, second.missed),
             "is_ghosting_sem2": x.flag((F.col(second.evaluated) == 0) & (F.col(second.enrolled) > 0)),
             "is_primary_choice": x.flag(F.col(entity.application_order) == 1),
-            "is_high_rigor_course": x.flag(F.col("course_avg_grade_sem1") < low_mark.scalar()),
+            "is_high_rigor_course": x.flag(F.col("course_avg_grade_sem1") < low_mark),
             "student_vs_course_gap_sem1": F.round(x.delta(first.grade, "course_avg_grade_sem1"), 2),
             "admission_vs_course_gap": F.round(x.delta(entity.admission, "course_avg_grade_sem1"), 2),
             "target_binary": x.flag(F.col(outcome) == "Dropout"),

@@ -63,9 +63,6 @@ def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.join(periods(spark, sf_dir), "entity_id", "left")
 
 
-# Small enough to be exact on the check data, large enough to stay a few MB per task.
-QUANTILE_ERROR = 1e-5
-
 # Fixed linear model over feature columns, for explanations that need no training.
 COEFFICIENTS = {
     "financial_stress_index": 0.25,
@@ -91,7 +88,7 @@ def entity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feature_table(entity_table(spark, sf_dir), SUBJECT, QUANTILE_ERROR)
+    return feature_table(entity_table(spark, sf_dir), SUBJECT)
 
 
 def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,11 +121,15 @@ def subject_tables(validated: DataFrame, as_of: Column) -> dict[str, DataFrame]:
     return {name: df.withColumn("silver_created_ts", as_of.cast("timestamp")) for name, df in tables.items()}
 
 
-def features(tables: Mapping[str, DataFrame], as_of: Column, relative_error: float = 0.01) -> DataFrame:
-    """Join the subject tables on the key and add every derived feature."""
+def features(tables: Mapping[str, DataFrame], as_of: Column, state: str | None = None) -> DataFrame:
+    """Join the subject tables on the key, mark the held-out rows and add every derived feature.
+
+    Group statistics are fitted on the rows that are not held out; ``state`` names a table to keep them in.
+    """
     parts = [tables[name].drop("silver_created_ts") for name in SUBJECTS]
-    joined = star_join(parts[0], parts[1:], KEY)
-    return feature_table(joined, STUDENT, relative_error).withColumn("feature_ts", as_of.cast("timestamp"))
+    joined = staged(learning.stratified_split(star_join(parts[0], parts[1:], KEY), "target_dropout", KEY))
+    rows = feature_table(joined, STUDENT, fit_on=joined.where(F.col("is_test") == 0), state=state)
+    return rows.withColumn("feature_ts", as_of.cast("timestamp"))
 
 
 class Trained(NamedTuple):
@@ -140,10 +144,10 @@ def train_and_score(
     feature_rows: DataFrame, as_of: Column, trees: int = learning.FOREST_TREES,
     iterations: int = learning.LOGISTIC_ITERATIONS,
 ) -> Trained:
-    """Fit both models on the training part, keep the better one by AUC, score the held-out part."""
+    """Fit both models on the rows with ``is_test`` 0, keep the better one by AUC, score the others."""
     spark = feature_rows.sparkSession
     columns = learning.ml_columns(feature_rows, CATEGORICAL, NOT_FEATURES, SENSITIVE_FEATURES)
-    parts = staged(learning.stratified_split(feature_rows, "target_dropout", KEY))
+    parts = feature_rows
     train = staged(learning.class_weights(parts.where(F.col("is_test") == 0), "target_dropout"))
     test = parts.where(F.col("is_test") == 1)
     stages = learning.build_preprocessor(train, columns)
@@ -231,7 +235,7 @@ def run(
     bronze = store("bronze", ingest(spark, path, now))
     validated = store("validated", validate(bronze))
     silver = {name: store(name, df) for name, df in subject_tables(validated, now).items()}
-    rows = store("features", features(silver, now))
+    rows = store("features", features(silver, now, TABLES["feature_state"]))
     trained = train_and_score(rows, now, trees, iterations)
     store("metrics", trained.metrics, key=None)
     scores = store("scores", trained.scores)

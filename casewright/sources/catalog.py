@@ -31,6 +31,8 @@ TABLES = {
     "reasons": "dropout_gold.feature_reason_mapping",
     "alerts": "dropout_gold.counselor_email_alert_log",
 }
+#: Tables of our own beside them.
+TABLES["feature_state"] = "dropout_feature.fitted_group_statistics"
 
 
 def ensure_schemas(spark: SparkSession, names: Iterable[str]) -> None:
