@@ -19,7 +19,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE = 2_000_000
 _ODD = 0x9E3779B97F4A7C15
-_POWERS: dict[str, np.ndarray] = {}
+#: Span hashes are polynomials over the whole numbers modulo this prime, at two points.
+_PRIME = (1 << 31) - 1
+_POINTS = (1_203_871_057, 719_393_819)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -63,22 +66,35 @@ def byte_codes(fold: bool) -> np.ndarray:
     return codes
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2**64."""
-    if len(_POWERS.get("up", ())) < n:
+def _powers(point: int, n: int) -> np.ndarray:
+    """Powers of a number modulo the prime, by doubling."""
+    if len(_POWERS.get(point, ())) < n:
         size = max(n, SLICE + 1)
-        up, down = np.full(size, _ODD, np.uint64), np.full(size, pow(_ODD, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        _POWERS.update(up=np.multiply.accumulate(up), down=np.multiply.accumulate(down))
-    return _POWERS["up"], _POWERS["down"]
+        powers, known = np.ones(size, np.uint32), 1
+        while known < size:
+            more = min(known, size - known)
+            factor = np.uint64(pow(point, known, _PRIME))
+            powers[known : known + more] = powers[:more].astype(np.uint64) * factor % np.uint64(_PRIME)
+            known += more
+        _POWERS[point] = powers
+    return _POWERS[point]
 
 
 def span_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each ``body[start:end]``, from one running sum over the bytes."""
-    up, down = _powers(len(body) + 1)
-    total = np.zeros(len(body) + 1, np.uint64)
-    np.cumsum(codes[body] * up[: len(body)], out=total[1:])
-    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each ``body[start:end]``, from two running sums over the bytes.
+
+    A span is read as a polynomial over a prime field, at two points, so unequal spans of n bytes agree in at most
+    n points of 2**31 in each; powers of two as modulus would let unequal spans of two letters agree at every point.
+    """
+    prime, parts = np.uint64(_PRIME), []
+    for number, point in enumerate(_POINTS):
+        up, down = _powers(point, len(body) + 1), _powers(pow(point, -1, _PRIME), len(body) + 1)
+        own = (codes >> np.uint64(33 * number)) % prime
+        terms = own[body] * up[: len(body)]
+        total = np.zeros(len(body) + 1, np.uint64)
+        np.cumsum((terms & prime) + (terms >> np.uint64(31)), out=total[1:])
+        parts.append((total[ends] - total[starts]) % prime * down[starts] % prime)
+    return mixed((parts[0] | (parts[1] << np.uint64(31))) ^ mixed((ends - starts).astype(np.uint64)))
 
 
 def spans(body: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,6 +141,17 @@ def row_keys(ids: list, body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return mixed(text ^ mixed(known)).view(np.int64)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores put before it until no column has it (columns differ by more than case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column from flat values and the length of each list."""
     offsets = np.zeros(len(counts) + 1, np.int32)
