@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from casewright.session import staged
 
 BUCKETS = 1 << 16
+#: Ids of trusted documents are broadcast up to this many rows.
+BROADCAST_ROWS = 1_000_000
 THRESHOLD = -0.1
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -71,12 +73,17 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: s
 
     ``trusted`` has the keys of trusted documents. Raw counts are over all documents, trusted ones over all trusted.
     """
-    known = trusted.select(F.col(key).alias("_key")).where("_key IS NOT NULL").distinct()
-    grams = docs.select(F.col(key).alias("_key"), words_of(text).alias("words")).join(
-        known.withColumn("_good", F.lit(1)), "_key", "left"
-    )
-    counts = grams.select("_good", F.explode(hashed_ngrams("words")).alias("bucket")).groupBy("bucket")
-    counts = counts.agg(F.count(F.lit(1)).alias("raw"), F.count("_good").alias("good"))
+    known = staged(trusted.select(F.col(key).alias("_key")).where("_key IS NOT NULL").distinct())
+    read = docs.select(F.col(key).alias("_key"), words_of(text).alias("words"))
+    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        marked, raw = read.join(F.broadcast(known.withColumn("_good", F.lit(1))), "_key", "left"), F.count(F.lit(1))
+    else:
+        # All documents are counted where they are; trusted texts are shuffled to meet their ids and counted once more, with a mark.
+        again = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(known, "_key", "left_semi")
+        marked = read.withColumn("_good", F.lit(None).cast("int")).union(again.select("_key", words_of("_text"), F.lit(1)))
+        raw = F.count_if(F.col("_good").isNull())
+    grams = marked.select("_good", F.explode(hashed_ngrams("words")).alias("bucket")).groupBy("bucket")
+    counts = grams.agg(raw.alias("raw"), F.count("_good").alias("good"))
     spark = docs.sparkSession
     every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").fillna(0)
     every = staged(every)  # as many rows as there are buckets
