@@ -49,15 +49,15 @@ def _pieces(size: Column, rows: Column, most_bytes: int, most_rows: int) -> Colu
 
 def assign_shards(
     records: DataFrame, text: str = "text", key: str = "doc_id", shards: int = 16, carry: Sequence[str] = (),
-    ranges: int = 1024, draws: int = 32_768, part_bytes: int = 64 << 20, part_rows: int = 1 << 20, whole: float = 0.01,
+    ranges: int = 1024, draws: int = 32_768, part_bytes: int = 64 << 20, part_rows: int = 1 << 20,
 ) -> DataFrame:
     """(key, size, text_crc32, *carry, shard, slot): shards of nearly equal bytes, slots gapless from 0.
 
     Records are ordered by a hash of the text, cut into ``ranges`` at sampled quantiles, and each range is
     counted exactly. A range over twice its share (or over ``part_bytes`` / ``part_rows``) is divided by the
     text, and what is still overfull, that is one text with very many copies, by the record. Shards are
-    consecutive stretches of this order, cut by exact running bytes. Copies of a text share a shard
-    unless they weigh over ``whole`` of one.
+    consecutive stretches of this order: a text with all its copies goes where its middle lies in the running
+    bytes, so they share a shard. Only copies that weigh more than a shard together are placed one by one.
 
     Null texts have size 1 and the checksum of an empty text; repeated rows each get a slot; rows with
     equal text and key are ordered by ``carry``; an empty table gives no rows. Other columns are ignored
@@ -95,8 +95,13 @@ def assign_shards(
     per_range = sums.groupBy("_range").agg(F.sum("_bytes").alias("_b"), F.sum("_rows").alias("_r"))
     per_range = per_range.select("_range", before(over_ranges, "_b").alias("_b0"), before(over_ranges, "_r").alias("_r0"))
     inside = Window.partitionBy("_range").orderBy("_part", "_salt")
+    part = Window.partitionBy("_range", "_part")
     offsets = sums.join(F.broadcast(per_range), "_range").select(
-        *place, (F.col("_b0") + before(inside, "_bytes")).alias("_b0"), (F.col("_r0") + before(inside, "_rows")).alias("_r0")
+        *place, "_bytes", (F.col("_b0") + before(inside, "_bytes")).alias("_b0"), (F.col("_r0") + before(inside, "_rows")).alias("_r0")
+    )
+    # What was divided by the record is one text; it is placed as a whole.
+    offsets = offsets.select(
+        *place, "_b0", "_r0", F.min("_b0").over(part).alias("_p0"), F.sum("_bytes").over(part).alias("_pw"), (F.count(F.lit(1)).over(part) > 1).alias("_divided")
     )
     run = Window.partitionBy(*place).orderBy("_at", "_tie")
     copies = Window.partitionBy(*place, "_at")
@@ -104,11 +109,12 @@ def assign_shards(
         parts.join(staged(offsets), place)
         .withColumn("_start", F.col("_b0") + before(run, "size"))
         .withColumn("_pos", F.col("_r0") + F.row_number().over(run) - 1)
-        .withColumn("_first", F.min("_start").over(copies))
-        .withColumn("_weight", F.sum("size").over(copies))
+        .withColumn("_first", F.when(F.col("_divided"), F.col("_p0")).otherwise(F.min("_start").over(copies)))
+        .withColumn("_weight", F.when(F.col("_divided"), F.col("_pw")).otherwise(F.sum("size").over(copies)))
     )
-    unit = F.when(F.col("_weight") * shards <= whole * total, F.col("_first")).otherwise(F.col("_start"))
-    shard = F.least(F.lit(shards - 1), F.floor(unit * shards / F.lit(total))).cast("int")
+    together = F.col("_weight") * shards <= total
+    middle = F.when(together, 2 * F.col("_first") + F.col("_weight")).otherwise(2 * F.col("_start") + F.col("size"))
+    shard = F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(2 * total))).cast("int")
     placed = staged(placed.select(key, "size", "text_crc32", *carry, shard.alias("shard"), "_pos"))
     first = placed.groupBy("shard").agg(F.min("_pos").alias("_first"))  # one row per shard
     return placed.join(F.broadcast(first), "shard").select(
