@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casewright.llm.text import fresh
 from casewright.session import staged
 
 WINDOW = 13
@@ -134,14 +135,16 @@ def without_hits(text: str, hits: str) -> Column:
 def cleaned(docs: DataFrame, benchmark: DataFrame, how: str = "documents", key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without contaminated documents (``how="documents"``), or with hit words cut out (``"spans"``).
 
-    All columns are kept as they are. With "spans" a text without words left stays as what is between them.
+    All columns are kept as they are, whatever their names. With "spans" a text without words left stays as what is between them.
     """
     report = decontaminate(docs, benchmark, key, text)
-    named = report.select(F.col(key).alias("_key"), F.col("_text").alias("_hash"), "hits", contaminated().alias("_bad"))
-    mine = docs.withColumn("_text", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    own, of, of_text, places = fresh(docs.columns, "own_hash", "hit_key", "hit_hash", "hit_places")
+    named = report.select(F.col(key).alias(of), F.col("_text").alias(of_text), F.col("hits").alias(places), contaminated().alias("_bad"))
+    mine = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = F.col(key).eqNullSafe(F.col(of)) & (F.col(own) == F.col(of_text))
     if how == "documents":
-        bad = named.where("_bad").select("_key", "_hash").distinct()
-        return mine.join(_small(staged(bad)), mine[key].eqNullSafe(F.col("_key")) & (mine["_text"] == F.col("_hash")), "left_anti").drop("_text")
-    hit = _small(staged(named.where("size(hits) > 0").select("_key", "_hash", "hits").dropDuplicates(["_key", "_hash"])))
-    joined = mine.join(hit, mine[key].eqNullSafe(F.col("_key")) & (mine["_text"] == F.col("_hash")), "left")
-    return joined.withColumn(text, F.when(F.col("hits").isNull(), F.col(text)).otherwise(without_hits(text, "hits"))).drop("_text", "_key", "_hash", "hits")
+        bad = named.where("_bad").select(of, of_text).distinct()
+        return mine.join(_small(staged(bad)), same, "left_anti").select(*docs.columns)
+    hit = _small(staged(named.where(F.size(places) > 0).select(of, of_text, places).dropDuplicates([of, of_text])))
+    cut = F.when(F.col(places).isNull(), F.col(text)).otherwise(without_hits(text, places))
+    return mine.join(hit, same, "left").withColumn(text, cut).select(*docs.columns)

@@ -70,10 +70,11 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def _read_sets(docs: DataFrame, key: str, text: str, whole: bool) -> DataFrame:
-    """(key, n, node, copy, tokens): set size, 64-bit node, 128-bit mark of the set, its first tokens or all."""
-    narrow = docs.select(key, text)
-    schema = f"`{key}` {narrow.schema[key].dataType.simpleString()}, n bigint, node bigint, copy string, tokens array<bigint>"
+def _read_sets(docs: DataFrame, key: str, text: str, whole: bool, mark: bool = False) -> DataFrame:
+    """(key, [text_mark], n, node, copy, tokens): set size, 64-bit node, 128-bit mark of the set, its first tokens or all."""
+    narrow = docs.select(key, text, *([F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_mark")] if mark else []))
+    kept = [c for c in narrow.columns if c != text]
+    schema = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in kept) + ", n bigint, node bigint, copy string, tokens array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,9 +91,9 @@ def _read_sets(docs: DataFrame, key: str, text: str, whole: bool) -> DataFrame:
                     tokens.append(values[:keep])
                     counts.append(keep)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(key)[rows], pa.array(sizes, pa.int64()), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(copies, pa.string()),
+                    [*[batch.column(c)[rows] for c in kept], pa.array(sizes, pa.int64()), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(copies, pa.string()),
                      lists(_signed(np.concatenate(tokens)), np.array(counts), pa.int64())],
-                    names=[key, "n", "node", "copy", "tokens"],
+                    names=[*kept, "n", "node", "copy", "tokens"],
                 )
 
     return narrow.mapInArrow(run, schema)
@@ -255,14 +256,17 @@ def _linked(sets: DataFrame) -> DataFrame:
     return labels if labels is not None else postings.select("node", F.col("node").alias("component")).where("false")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", marks: bool = False) -> DataFrame:
     """(key, n_shingles, component_id) for each document row; the id is the smallest key reachable by links.
 
+    With ``marks`` also text_mark, a hash that tells texts under one key apart, and group_mark, equal in all rows of a component
+    and null for rows that are linked with nothing and have no key or no words.
+
     A text without words is linked with nothing and has its own key. Rows with a null key get a null
     component and link nothing. Repeated rows are copies. An empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    read = staged(_read_sets(docs, key, text, whole=False))
+    read = staged(_read_sets(docs, key, text, whole=False, mark=marks))
     usable = read.where(F.col("copy").isNotNull() & F.col(key).isNotNull())
     classes = staged(usable.groupBy("copy", "node", "n").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("members")))
     shared = _shared_counts(usable)
@@ -277,7 +281,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     smallest_key = staged(grouped.groupBy("group").agg(F.min("first").alias("component_id")))
     grouped = grouped.join(smallest_key, "group")
     # Only copies and linked documents need to look their component up.
-    looked_up = staged(grouped.where("members > 1 OR component IS NOT NULL").select("copy", "component_id"))
-    rows = read.select(key, F.col("n").alias("n_shingles"), "copy")
-    out = rows.where("copy IS NOT NULL").join(looked_up, "copy", "left").select(key, "n_shingles", F.when(F.col(key).isNotNull(), F.coalesce("component_id", key)).alias("component_id"))
-    return out.union(rows.where("copy IS NULL").select(key, "n_shingles", F.col(key).alias("component_id")))
+    looked_up = staged(grouped.where("members > 1 OR component IS NOT NULL").select("copy", "component_id", F.col("group").alias("_group")))
+    more = ["text_mark"] if marks else []
+    rows = read.select(key, *more, F.col("n").alias("n_shingles"), "copy", "node")
+    named = F.col(key).isNotNull()
+    marked = [F.when(named, F.coalesce("_group", "node")).alias("group_mark")] if marks else []
+    none = [F.lit(None).cast("bigint").alias("group_mark")] if marks else []
+    out = rows.where("copy IS NOT NULL").join(looked_up, "copy", "left")
+    out = out.select(key, "n_shingles", F.when(named, F.coalesce("component_id", key)).alias("component_id"), *more, *marked)
+    return out.union(rows.where("copy IS NULL").select(key, "n_shingles", F.col(key).alias("component_id"), *more, *none))
