@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewright.functions.expressions import cross_attribute
+from casewright.operators.dominance import Staircase, best_fitting, staircase
 from casewright.session import measured
 
 
@@ -95,8 +96,13 @@ def audit_frame(
     return joined
 
 
-#: Rows of a catalogue that may travel with every entity.
-CATALOG_ROWS = 1_000
+CATALOG_FIELDS = ["success_rate", "intervention_type", "avg_cost", "description", "category"]
+
+
+def catalog_index(catalog: DataFrame, k: int) -> Staircase:
+    """The index over an intervention catalogue that gives the ``k`` most successful rows for a risk and a stress level."""
+    order = [F.col("success_rate").desc_nulls_last(), "intervention_type"]
+    return staircase(catalog, "risk_score_threshold", "financial_stress_level", order, CATALOG_FIELDS, k)
 
 
 def recommend_interventions(
@@ -105,36 +111,32 @@ def recommend_interventions(
     key: str,
     risk: str,
     stress: str,
-    k: int | None = 5,
+    k: int = 5,
     risk_slack: float = 0.15,
     stress_slack: int = 1,
 ) -> DataFrame:
-    """The ``k`` most successful interventions whose thresholds fit each entity; all of them without ``k``.
+    """The ``k`` most successful interventions whose thresholds fit each entity, by an index over the catalogue.
 
-    The catalogue is a fixed literal table (at most ``CATALOG_ROWS`` rows, else an error): it travels as one array per row and is filtered in place,
-    so nothing is shuffled and no entity is paired with rows it does not keep.
+    A catalogue of any size: no entity meets rows that it does not keep, and nothing but its stretch of the index is joined to it.
     """
-    fields = ["success_rate", "intervention_type", "avg_cost", "description", "category",
-              "risk_score_threshold", "financial_stress_level"]
-    if catalog.limit(CATALOG_ROWS + 1).count() > CATALOG_ROWS:
-        raise ValueError(f"the catalogue has more than {CATALOG_ROWS} rows")
-    ranked = catalog.agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("success_rate")).alias("order"), *fields))).alias("c")
-    )
-    fitting = F.filter(
-        F.col("_catalog"),
-        lambda item: (item["risk_score_threshold"] <= F.col(risk) + F.lit(risk_slack))
-        & (item["financial_stress_level"] <= F.col(stress) + F.lit(stress_slack)),
-    )
-    return (
-        entities.select(key, risk, stress)
-        .withColumn("_catalog", ranked.scalar())
-        .select(key, risk, stress, (fitting if k is None else F.slice(fitting, 1, k)).alias("fit"))
-        .select(key, risk, stress, F.posexplode("fit").alias("pos", "item"))
-        .select(
-            key, risk, stress,
-            (F.col("pos") + 1).cast("bigint").alias("option_rank"),
-            *[F.col(f"item.{f}").alias(f)
-              for f in ("intervention_type", "success_rate", "avg_cost", "description", "category")],
-        )
+    limits = F.col(risk) + F.lit(risk_slack), F.col(stress) + F.lit(stress_slack)
+    found = best_fitting(entities.select(key, risk, stress), catalog_index(catalog, k), *limits, name="_best")
+    options = found.select(key, risk, stress, F.posexplode("_best").alias("_at", "_item"))
+    return options.select(
+        key, risk, stress, (F.col("_at") + 1).cast("bigint").alias("option_rank"),
+        *[F.col(f"_item.{f}").alias(f) for f in ("intervention_type", "success_rate", "avg_cost", "description", "category")],
     )
+
+
+def fitting_interventions(
+    entities: DataFrame, catalog: DataFrame, key: str, risk: str, stress: str, risk_slack: float = 0.15, stress_slack: int = 1
+) -> DataFrame:
+    """Every intervention that fits each entity: (key, intervention_type, success_rate), as many rows as there are fits.
+
+    Thresholds are cut at the distinct levels: an entity's rows are those of all levels up to its own, so both sides meet on the level.
+    """
+    rows = catalog.select(F.col("financial_stress_level").alias("_level"), F.col("risk_score_threshold").alias("_from"), "intervention_type", "success_rate")
+    levels = rows.select("_level").where("_level IS NOT NULL").distinct().agg(F.sort_array(F.collect_list("_level")).alias("l")).scalar()
+    mine = entities.select(key, F.col(risk).alias("_risk"), F.col(stress).alias("_stress"), levels.alias("_levels"))
+    mine = mine.select(key, "_risk", F.explode(F.filter("_levels", lambda x: x <= F.col("_stress") + stress_slack)).alias("_level"))
+    return mine.join(rows, "_level").where(F.col("_from") <= F.col("_risk") + F.lit(risk_slack)).select(key, "intervention_type", "success_rate")

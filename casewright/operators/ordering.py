@@ -84,6 +84,25 @@ def top_n(df: DataFrame, order: Sequence[ColumnLike], n: int) -> DataFrame:
     return df.orderBy(*map(as_column, order)).limit(n)
 
 
+def top_rows(df: DataFrame, score: str, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the highest score, ties to the smaller key, in no order, for any ``n``; rows without a score are left out.
+
+    ``score`` and ``key`` are numbers, and the key is unique. The n-th score is selected, then the n-th key among rows with that score; what
+    remains is a filter, so no task holds the result. ``df`` is a stored table.
+    """
+    scored = df.where(F.col(score).isNotNull())
+    total = scored.count()
+    if n >= total or n <= 0:
+        return scored if n > 0 else scored.where(F.lit(False))
+    place = Cut(score, (total - n + 0.5) / total)
+    limit = cut_column(df, place, select_cuts(scored, {"cut": place}, reread=True)["cut"])
+    ties = scored.where(F.col(score) == limit)
+    above, equal = scored.agg(F.count_if(F.col(score) > limit), F.count_if(F.col(score) == limit)).first()
+    last = Cut(key, (n - above - 0.5) / equal)
+    key_limit = cut_column(df, last, select_cuts(ties, {"cut": last}, reread=True)["cut"])
+    return scored.where((F.col(score) > limit) | ((F.col(score) == limit) & (F.col(key) <= key_limit)))
+
+
 def queue_head(queue: DataFrame, n: int, rank: str = "priority_rank") -> DataFrame:
     """The first ``n`` entries of an already ranked queue."""
     return queue.where(F.col(rank) <= n)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from casewright.functions.actions import (
     confidence_band, intervention_tier, plan_actions, recommend_action,
 )
-from casewright.operators.joins import attach_global, left_join_default, recommend_interventions
+from casewright.operators.dominance import best_fitting
+from casewright.operators.joins import attach_global, catalog_index, left_join_default
 from casewright.operators.ordering import priority_rank
 from casewright.operators.statistics import global_max
 from casewright.vocabulary import OTHER_REASON
@@ -61,12 +62,12 @@ def intervention_plan(
     failing: float = 10.0, good_rate: float = 0.7, cheap: float = 500.0,
 ) -> DataFrame:
     """Mandatory actions plus one fitting option: successful and cheap ones are preferred, then success."""
-    options = recommend_interventions(profile, catalog, key, risk, stress)
-    preference = F.struct(
-        F.when((F.col("success_rate") > good_rate) & (F.col("avg_cost") < cheap), 0).otherwise(1),
-        F.col("option_rank"),
+    limits = F.col(risk) + F.lit(0.15), F.col(stress) + F.lit(1)
+    found = best_fitting(profile, catalog_index(catalog, 5), *limits, name="_best")
+    # The choice is made inside the row; nothing is exploded or joined back.
+    preferred = F.filter("_best", lambda o: (o["success_rate"] > good_rate) & (o["avg_cost"] < cheap))
+    chosen = F.coalesce(F.get(preferred, F.lit(0)), F.get("_best", F.lit(0)))
+    return found.select(
+        key, F.concat_ws("|", plan_actions(stress, grade, absences, risk, failing)).alias("required_actions"),
+        chosen["intervention_type"].alias("preferred_intervention"),
     )
-    chosen = options.groupBy(key).agg(F.min_by("intervention_type", preference).alias("preferred_intervention"))
-    return profile.select(
-        key, F.concat_ws("|", plan_actions(stress, grade, absences, risk, failing)).alias("required_actions")
-    ).join(chosen, key, "left")

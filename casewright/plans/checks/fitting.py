@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casewright.operators.fitted import fit_group_statistics, with_out_of_fold_mean
+from casewright.operators.ordering import top_rows
 from casewright.operators.selection import Cut, select_cuts
 from casewright.plans import features as f
 from casewright.plans.checks.formulas import HORIZON, VIEW_BASE
@@ -34,6 +35,11 @@ def weighted_cuts(spark, sf_dir):
     return spark.createDataFrame([(float(q), v) for q, v in found.items()], "fraction double, cut double")
 
 
+@check("top_orders", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10000")
+def top_orders(spark, sf_dir):
+    return top_rows(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey", 10_000)
+
+
 TRAINING = "substr(md5(entity_id || '-42'), 1, 2) < 'cd'"
 FOLD = "CAST('0x' || substr(md5(entity_id || '-fold-42'), 1, 8) AS BIGINT) % 5"
 
