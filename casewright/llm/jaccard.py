@@ -8,7 +8,8 @@ ranked. The join asks for that in four orders and intersects the answers before
    the only tokens of all documents that are shuffled (in bins). A document of which too few of these
    tokens are found in any other document has no partner and is done.
 2. For the rest, three orders by document frequency, rarest first, that break ties differently. Candidates share a
-   prefix token in the first; of those, only pairs that also share one in the second and third are verified.
+   prefix token in the first, and as many tokens that any other document has as a link needs; of those, only pairs
+   that also share one in the second and third are verified.
 
 Copies (equal sets) are one node. Among the documents with one prefix token, a pivot is compared with all others
 first, then several more; after that only pairs that are not yet in one component are, so a group of near copies
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewright.llm import bins
@@ -139,7 +140,9 @@ def _shared_counts(sets: DataFrame) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """(node, n, p1, p2, p3): prefixes under three orders by frequency, without tokens that no other node has.
+    """(node, n, s, p1, p2, p3): prefixes under three orders by frequency, without tokens that no other node has.
+
+    ``s`` counts the tokens that another node has: a bound for what the node has in common with any.
 
     Tokens of one node only are the rarest, so they come first in each order and use up the prefix.
     The frequencies go back to the nodes packed too, one row from each bin of tokens to each bin of nodes.
@@ -185,25 +188,31 @@ def _prefixes(sets: DataFrame) -> DataFrame:
                 sizes = np.array([u for u in used if u > 0])
                 sizes = np.minimum(sizes, [len(x) for x in out[0]])
                 columns = [lists(np.concatenate(o), sizes, pa.int64()) for o in out]
-                yield pa.RecordBatch.from_arrays([batch.column("node").filter(keep), batch.column("n").filter(keep), *columns], names=["node", "n", "p1", "p2", "p3"])
+                own = [batch.column("node").filter(keep), batch.column("n").filter(keep), pa.array(counts.astype(np.int64)).filter(keep)]
+                yield pa.RecordBatch.from_arrays([*own, *columns], names=["node", "n", "s", "p1", "p2", "p3"])
+
+    return gathered.select("node", "n", "t", "f").mapInArrow(cut, "node bigint, n bigint, s bigint, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
+
 
-    return gathered.select("node", "n", "t", "f").mapInArrow(cut, "node bigint, n bigint, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
+def _may_link(n: str, s: str, other_n: str, other_s: str) -> Column:
+    """A link needs 7 * common >= 3 * (n + other n), and what is common is in both counts of shared tokens and in both sets."""
+    common = F.least(n, s, other_n, other_s)
+    return 7 * common >= 3 * (F.col(n) + F.col(other_n))
 
 
 def _links(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame) -> DataFrame:
     """Of candidate pairs (a, b), those that pass the other orders and then the comparison of the sets."""
     side = lambda df, name, *cols: df.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in cols])
-    near = pairs.join(side(prefixes, "a", "n", "p2", "p3"), "a").join(side(prefixes, "b", "n", "p2", "p3"), "b")
-    sizes = 4 * F.least("a_n", "b_n") >= 3 * F.greatest("a_n", "b_n")
-    near = near.where(sizes & F.arrays_overlap("a_p2", "b_p2") & F.arrays_overlap("a_p3", "b_p3")).select("a", "b")
+    near = pairs.join(side(prefixes, "a", "p2", "p3"), "a").join(side(prefixes, "b", "p2", "p3"), "b")
+    near = near.where(F.arrays_overlap("a_p2", "b_p2") & F.arrays_overlap("a_p3", "b_p3")).select("a", "b")
     full = staged(near).join(side(sets, "a", "n", "tokens"), "a").join(side(sets, "b", "n", "tokens"), "b")
     # 100 * common >= 75 * union, where union = n_a + n_b - common.
     return full.where(7 * F.size(F.array_intersect("a_tokens", "b_tokens")) >= 3 * (F.col("a_n") + F.col("b_n"))).select("a", "b")
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
-    """(node, token): who has which prefix token. Of tokens that the same nodes have, one stands for all."""
-    every = staged(prefixes.select("node", F.explode("p1").alias("token")))
+    """(node, n, s, token): who has which prefix token. Of tokens that the same nodes have, one stands for all."""
+    every = staged(prefixes.select("node", "n", "s", F.explode("p1").alias("token")))
     mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "node") % (1 << 40))
     owners = every.groupBy("token").agg(F.count(F.lit(1)).alias("k"), mark(1).alias("one"), mark(2).alias("two")).where("k > 1")
     kept = staged(owners.groupBy("k", "one", "two").agg(F.min("token").alias("token")).select("token"))
@@ -239,18 +248,20 @@ def _linked(sets: DataFrame) -> DataFrame:
         if not entries:
             break
         rest = now.join(top.select("token", "top"), "token")
-        strays = rest.where("component <> top").select("token", F.col("node").alias("a"), F.col("component").alias("ca"))
+        renamed = {"node": "a", "component": "ca", "n": "an", "s": "as"}
+        strays = rest.where("component <> top").select("token", *[F.col(c).alias(new) for c, new in renamed.items()])
+        possible = _may_link("n", "s", "an", "as")
         last = cost <= SETTLE * entries or turn == STAR_ROUNDS - 1
         if last:
-            pairs = strays.join(rest.select("token", F.col("node").alias("b"), F.col("component").alias("cb")), "token").where("ca <> cb")
+            pairs = strays.join(rest.select("token", "node", "component", "n", "s"), "token").where((F.col("ca") != F.col("component")) & possible)
         else:
             # Pivots for each token, among those outside its largest component: one that joins most of a group, then several.
             # Each is the first in an order of all nodes, so tokens of one group mostly have the same ones.
             seeds = range(1) if turn == 0 else range(turn * SETTLE, (turn + 1) * SETTLE)
-            firsts = [F.min_by(F.struct("a", "ca"), F.xxhash64("a", F.lit(seed))) for seed in seeds]
+            firsts = [F.min_by(F.struct("a", "ca", "an", "as"), F.xxhash64("a", F.lit(seed))) for seed in seeds]
             pivot = staged(strays.groupBy("token").agg(F.array_distinct(F.array(*firsts)).alias("p"))).select("token", F.inline("p"))
-            pairs = rest.join(pivot, "token").where("component <> ca").select("a", F.col("node").alias("b"))
-        labels = _joined(labels, staged(_links(ordered(pairs), prefixes, sets)))
+            pairs = rest.join(pivot, "token").where((F.col("component") != F.col("ca")) & possible)
+        labels = _joined(labels, staged(_links(ordered(pairs.select("a", F.col("node").alias("b"))), prefixes, sets)))
         if last:
             break
     return labels if labels is not None else postings.select("node", F.col("node").alias("component")).where("false")
