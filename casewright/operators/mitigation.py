@@ -11,8 +11,9 @@ of hulls is the hull; what is left are the corners.
 
 from __future__ import annotations
 
+import json
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -33,7 +34,7 @@ CONSTRAINTS = {
     "demographic_parity": ("sel", False),
 }
 #: Values of the common coordinate that are tried at a time, and times that the best one's neighbourhood is cut as finely.
-GRID, ROUNDS = 64, 4
+GRID, ROUNDS = 256, 3
 #: Points that are thinned by one task in the end.
 FEW = 1 << 16
 POINT = "group_name string, fp bigint, tp bigint, threshold double"
@@ -118,12 +119,12 @@ def _lines(edges: DataFrame) -> DataFrame:
     return edges.where("c_next > c").select("group_name", steep.alias("slope"), F.col("c").alias("at"), "v")
 
 
-def _objective(lines: DataFrame, tries: DataFrame, constraint: str) -> DataFrame:
+def _objective(lines: DataFrame, tries: Sequence[float], constraint: str) -> DataFrame:
     """(c, goal): the objective at each tried coordinate."""
     common, lowest = CONSTRAINTS[constraint]
     reached = F.col("v") + F.col("slope") * (F.col("c") - F.col("at"))
-    array = tries.agg(F.sort_array(F.collect_set("c")).alias("a")).scalar()
-    tried = lines.withColumn("_tries", array).select("group_name", "slope", "at", "v", F.explode("_tries").alias("c"))
+    array = F.from_json(F.lit(json.dumps(sorted(set(tries)))), "array<double>")
+    tried = lines.select("group_name", "slope", "at", "v", F.explode(array).alias("c"))
     by_group = tried.groupBy("c", "group_name").agg(F.min(reached).alias("v"))
     whole = by_group.groupBy("c").agg((F.min("v") if lowest else F.sum("v")).alias("v"))
     extra = {"equalized_odds": -F.col("c"), "false_positive_rate_parity": -F.col("c"), "true_positive_rate_parity": F.col("c"), "demographic_parity": F.lit(0.0)}[constraint]
@@ -132,18 +133,18 @@ def _objective(lines: DataFrame, tries: DataFrame, constraint: str) -> DataFrame
 
 def _best_common(edges: DataFrame, constraint: str) -> tuple[float, float] | None:
     """(coordinate, value) with the best objective, the smallest coordinate on ties."""
-    spark, lines = edges.sparkSession, staged(_lines(edges))
+    lines = staged(_lines(edges))
     low, high = 0.0, 1.0
     for _ in range(ROUNDS):
-        steps = [(low + (high - low) * i / GRID,) for i in range(GRID + 1)]
-        goals = {r["c"]: r["goal"] for r in _objective(lines, spark.createDataFrame(steps, "c double"), constraint).collect()}  # GRID + 1 rows
+        steps = [low + (high - low) * i / GRID for i in range(GRID + 1)]
+        goals = {r["c"]: r["goal"] for r in _objective(lines, steps, constraint).collect()}  # GRID + 1 rows
         if not goals:
             return None
-        at = max(range(GRID + 1), key=lambda i: (goals[steps[i][0]], -i))
-        low, high = steps[max(0, at - 1)][0], steps[min(GRID, at + 1)][0]
-    # The corners left between the bounds, and the crossing of the lines that are lowest at either bound.
+        at = max(range(GRID + 1), key=lambda i: (goals[steps[i]], -i))
+        low, high = steps[max(0, at - 1)], steps[min(GRID, at + 1)]
+    # The corners left in a range of (2 / GRID) ** ROUNDS, and the crossing of the lines that are lowest at its ends.
     inside = edges.select(F.explode(F.array("c", "c_next")).alias("c")).where(F.col("c").between(low, high)).distinct()
-    tried = inside.union(spark.createDataFrame([(low,), (high,)], "c double"))
+    tried = [low, high, *[r["c"] for r in inside.collect()]]
     if CONSTRAINTS[constraint][1]:
         value = lambda c: F.col("v") + F.col("slope") * (F.lit(c) - F.col("at"))
         ends = lines.agg(F.min(F.struct(value(low), "slope", value(low).alias("y"))).alias("l"), F.min(F.struct(value(high), -F.col("slope"), F.col("slope").alias("s"), value(high).alias("y"))).alias("r")).first()
@@ -151,7 +152,7 @@ def _best_common(edges: DataFrame, constraint: str) -> tuple[float, float] | Non
         if left[0] != right[0]:
             cross = low + (right[1] - left[1] - right[0] * (high - low)) / (left[0] - right[0])
             if low < cross < high:
-                tried = tried.union(spark.createDataFrame([(cross,)], "c double"))
+                tried.append(cross)
     rounded = F.round("goal", 12)
     best = _objective(lines, tried, constraint).agg(F.min(F.struct(-rounded, "c", "v")).alias("b")).first()["b"]
     return best["c"], best["v"]

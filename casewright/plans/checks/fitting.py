@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from casewright.operators import mitigation
 from casewright.operators.fitted import fit_group_statistics, with_out_of_fold_mean
 from casewright.operators.ordering import top_rows
 from casewright.operators.selection import Cut, select_cuts
@@ -12,6 +13,7 @@ from casewright.plans.checks.formulas import HORIZON, VIEW_BASE
 from casewright.plans.checks.registry import check
 from casewright.plans.checks.sql import SUBJ
 from casewright.plans.proxy import SUBJECT, entity_table, table
+from casewright.session import staged
 
 FRACTIONS = [0.01, 0.25, 0.5, 0.75, 0.99]
 CUT_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_orderkey"]
@@ -86,3 +88,43 @@ FITTED = HORIZON.replace("FROM subj GROUP BY course)", f"FROM subj WHERE {TRAINI
 def feature_view_fitted(spark, sf_dir):
     rows = f.horizon_features(entity_table(spark, sf_dir), SUBJECT, fit_rows=training())
     return f.feature_view(rows, "early", VIEW_BASE)
+
+
+# --- hulls: the corners one after the other by the steepest way on, and every crossing tried -----------------------
+
+HULLS = """r AS (SELECT doc_id, nullif(lang, 'es') AS g, CAST(n_chars AS DOUBLE) AS s, quality AS y FROM documents JOIN labels USING (doc_id)),
+tot AS (SELECT g, sum(y) AS p, count(*) - sum(y) AS n FROM r GROUP BY g),
+pts AS (SELECT g, sum(sum(y)) OVER w AS tp, sum(count(*) - sum(y)) OVER w AS fp FROM r GROUP BY g, s WINDOW w AS (PARTITION BY g ORDER BY s DESC)),
+hull AS (
+  SELECT g, CAST(0 AS HUGEINT) AS fp, CAST(0 AS HUGEINT) AS tp FROM tot
+  UNION ALL SELECT g, fp, tp FROM (
+    SELECT h.g, q.fp, q.tp, row_number() OVER (PARTITION BY h.g ORDER BY atan2(q.tp - h.tp, q.fp - h.fp) DESC, q.fp DESC, q.tp DESC) AS nth
+    FROM hull h JOIN pts q ON q.g IS NOT DISTINCT FROM h.g AND (q.fp > h.fp OR q.fp = h.fp AND q.tp > h.tp)) WHERE nth = 1
+), corner AS (SELECT hull.g, fp / n AS x, tp / p AS y FROM hull JOIN tot ON tot.g IS NOT DISTINCT FROM hull.g),
+piece AS (SELECT g, x, y, (y1 - y) / (x1 - x) AS slope FROM (SELECT *, lead(x) OVER w AS x1, lead(y) OVER w AS y1 FROM corner WINDOW w AS (PARTITION BY g ORDER BY x, y)) WHERE x1 > x),
+tries AS (SELECT x FROM corner UNION SELECT (b.y - b.slope * b.x - a.y + a.slope * a.x) / (a.slope - b.slope) FROM piece a JOIN piece b ON a.slope > b.slope),
+best AS (SELECT t.x, min(piece.y + slope * (t.x - piece.x)) AS y FROM tries t, piece WHERE t.x BETWEEN 0 AND 1 GROUP BY t.x ORDER BY round(min(piece.y + slope * (t.x - piece.x)) - t.x, 12) DESC, t.x LIMIT 1)"""
+
+
+def hull_rows(spark, sf_dir):
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows = documents.select("doc_id", F.nullif("lang", F.lit("es")).alias("lang"), F.col("n_chars").cast("double").alias("score"))
+    return staged(rows.join(labels.select("doc_id", "quality"), "doc_id"))
+
+
+@check("hull_thresholds", f"WITH RECURSIVE {HULLS} SELECT g AS group_name, round(y, 6) AS true_positive_rate, round(x, 6) AS false_positive_rate FROM tot, best")
+def hull_thresholds(spark, sf_dir):
+    rules = mitigation.fit_hull_thresholds(hull_rows(spark, sf_dir), "lang", "score", "quality")
+    return rules.select("group_name", F.round("true_positive_rate", 6).alias("true_positive_rate"), F.round("false_positive_rate", 6).alias("false_positive_rate"))
+
+
+@check("hull_decisions", f"WITH RECURSIVE {HULLS} SELECT g AS group_name, round(y, 6) AS expected_tpr, round(x, 6) AS expected_fpr, p + n AS decided FROM tot, best")
+def hull_decisions(spark, sf_dir):
+    """What the decisions' chances add up to on the rows themselves."""
+    rows = hull_rows(spark, sf_dir)
+    rules = mitigation.fit_hull_thresholds(rows, "lang", "score", "quality")
+    fair = mitigation.apply_hull_thresholds(rows, rules, "lang", "score", "doc_id")
+    chance = lambda y: F.round(F.avg(F.when(F.col("quality") == y, F.col("fair_predicted_chance"))), 6)
+    return fair.groupBy(F.col("lang").alias("group_name")).agg(
+        chance(1).alias("expected_tpr"), chance(0).alias("expected_fpr"), F.count("fair_predicted").alias("decided")
+    )
