@@ -57,6 +57,16 @@ def with_row_id(df: DataFrame, order_by: Sequence[ColumnLike] | None = None, nam
     return with_global_rank(df, order_by or [], name)
 
 
+def with_arrival_id(read: DataFrame, name: str = "entity_id") -> DataFrame:
+    """Dense 1..n id in the order of the files: by path, place of the block in the file, and row in the block.
+
+    ``read`` comes straight from a file source. Which task read which block, and how large blocks are, makes no difference.
+    """
+    place = {"_cw_file": F.col("_metadata.file_path"), "_cw_block": F.col("_metadata.file_block_start"), "_cw_row": F.monotonically_increasing_id()}
+    marked = read.select("*", *[value.alias(column) for column, value in place.items()])
+    return with_global_rank(marked, list(place), name).drop(*place)
+
+
 def with_unique_id(df: DataFrame, name: str = "entity_id") -> DataFrame:
     """Unique id with gaps; costs nothing."""
     return df.withColumn(name, F.monotonically_increasing_id())

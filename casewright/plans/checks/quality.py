@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casewright.operators import identity, quality
-from casewright.operators.ordering import with_row_id, with_unique_id
+from casewright.operators import identity, loads, quality
+from casewright.operators.ordering import with_arrival_id, with_row_id, with_unique_id
 from casewright.plans.checks.registry import check
 from casewright.plans.checks.sql import SUBJ
 from casewright.plans.proxy import AS_OF, entity_table, periods, subjects, table
@@ -28,6 +28,11 @@ def arrival_row_id(spark, sf_dir):
     )
 
 
+@check("file_row_id", "SELECT o_orderkey, row_number() OVER () AS row_id FROM orders")
+def file_row_id(spark, sf_dir):
+    return with_arrival_id(table(spark, sf_dir, "orders"), "row_id").select("o_orderkey", "row_id")
+
+
 @check("unique_id", "SELECT count(*) AS n, count(*) AS different FROM lineitem")
 def unique_id(spark, sf_dir):
     ids = with_unique_id(table(spark, sf_dir, "lineitem").select("l_orderkey"), "row_id")
@@ -53,22 +58,31 @@ def key_cast(spark, sf_dir):
     return identity.cast_key(table(spark, sf_dir, "customer"), "c_nationkey").select("c_nationkey", "c_name")
 
 
-@check("change_detection", """WITH halves AS (
+CHANGES = """WITH halves AS (
   SELECT user_id || ':' || event_type AS k, ts < TIMESTAMP '2024-01-16 00:00:00' AS early, count(*) AS n
   FROM events GROUP BY 1, 2)
 SELECT coalesce(o.k, w.k) AS k,
   CASE WHEN o.k IS NULL THEN 'new' WHEN w.k IS NULL THEN 'gone' WHEN o.n = w.n THEN 'same' ELSE 'changed' END AS change
-FROM (FROM halves WHERE early) o FULL JOIN (FROM halves WHERE NOT early) w ON o.k = w.k""")
-def change_detection(spark, sf_dir):
+FROM (FROM halves WHERE early) o FULL JOIN (FROM halves WHERE NOT early) w ON o.k = w.k"""
+
+
+def half_loads(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     half = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp")
-    loads = [
-        identity.with_record_hash(
-            events.where(part).groupBy(F.concat_ws(":", "user_id", "event_type").alias("k")).agg(F.count("*").alias("n")), []
-        )
-        for part in (half, ~half)
-    ]
-    return identity.diff_by_hash(loads[0], loads[1], "k")
+    counts = lambda part: events.where(part).groupBy(F.concat_ws(":", "user_id", "event_type").alias("k")).agg(F.count("*").alias("n"))
+    return [identity.with_record_hash(counts(part)) for part in (half, ~half)]
+
+
+@check("change_detection", CHANGES)
+def change_detection(spark, sf_dir):
+    return identity.diff_by_hash(*half_loads(spark, sf_dir), "k")
+
+
+@check("change_detection_stored", CHANGES)
+def change_detection_stored(spark, sf_dir):
+    """The same from two stored fingerprint tables."""
+    old, new = (loads.store_fingerprints(load, "k", buckets=16) for load in half_loads(spark, sf_dir))
+    return loads.changed_rows(old, new, unchanged=True)
 
 
 def rules():

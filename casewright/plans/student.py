@@ -18,7 +18,7 @@ from casewright.operators.explain import top_reasons_array
 from casewright.operators.fairness import fairness_audit
 from casewright.operators.identity import with_lineage, with_record_hash
 from casewright.operators.joins import audit_frame, semi, star_join
-from casewright.operators.ordering import with_row_id
+from casewright.operators.ordering import with_arrival_id
 from casewright.operators.quality import (
     Rule, apply_rules, require_columns, rule_in_set, rule_le, rule_min, with_flags,
 )
@@ -29,7 +29,7 @@ from casewright.plans.features import (
 )
 from casewright.session import staged, staging_root
 from casewright.sources.catalog import (
-    TABLES, default_assignments, ensure_schemas, layer_names, write_table,
+    TABLES, default_assignments, ensure_schemas, layer_names, write_run, write_table,
 )
 from casewright.sources.files import read_csv
 from casewright.sources.literals import reason_mapping
@@ -89,9 +89,9 @@ AUDITED = ["gender", "financial_segment", "scholarship_holder", "gender_x_financ
 
 def ingest(spark: SparkSession, path: str, as_of: Column, schema: str | None = None) -> DataFrame:
     """CSV to bronze rows: clean names, dense ids, fingerprint and lineage."""
-    raw = normalize_columns(read_csv(spark, path, schema))
-    hashed = with_record_hash(raw)
-    return with_lineage(with_row_id(hashed, name=KEY), as_of, path)
+    numbered = normalize_columns(with_arrival_id(read_csv(spark, path, schema), KEY))
+    hashed = with_record_hash(numbered, exclude=[KEY])
+    return with_lineage(hashed, as_of, path)
 
 
 def validation_rules() -> list[Rule]:
@@ -142,7 +142,7 @@ class Trained(NamedTuple):
 
 def train_and_score(
     feature_rows: DataFrame, as_of: Column, trees: int = learning.FOREST_TREES,
-    iterations: int = learning.LOGISTIC_ITERATIONS,
+    iterations: int = learning.LOGISTIC_ITERATIONS, run_id: str = "latest",
 ) -> Trained:
     """Fit both models on the rows with ``is_test`` 0, keep the better one by AUC, score the others."""
     spark = feature_rows.sparkSession
@@ -166,7 +166,7 @@ def train_and_score(
     evaluated = {
         name: metrics.evaluate(df, "actual_dropout", "predicted_dropout", "risk_score") for name, df in scored.items()
     }
-    root = f"{staging_root(spark)}/models"
+    root = f"{staging_root(spark)}/models/{run_id}"
     locations = {name: learning.save_model(model, f"{root}/{name}") for name, model in models.items()}
     table = metrics.metrics_table(spark, evaluated, FOREST, as_of, locations)
     best = metrics.best_name(table)
@@ -220,9 +220,14 @@ ALERT_LOG_SCHEMA = (
 def run(
     spark: SparkSession, path: str, as_of: str, trees: int = learning.FOREST_TREES,
     iterations: int = learning.LOGISTIC_ITERATIONS,
-    contact: tuple[str, str] = ("Default Counselor", "counselor@example.org"),
+    contact: tuple[str, str] = ("Default Counselor", "counselor@example.org"), run_id: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All stages in order; returns the stored tables by name."""
+    """All stages in order; returns the stored tables by name.
+
+    ``run_id`` names the run, by default after ``as_of``: its alerts and models are kept beside those of other runs, and a run
+    that is started again replaces its own.
+    """
+    run_id = run_id or "".join(c if c.isalnum() else "-" for c in as_of)
     now = F.lit(as_of).cast("timestamp")
     ensure_schemas(spark, layer_names())
     out: dict[str, DataFrame] = {}
@@ -236,7 +241,7 @@ def run(
     validated = store("validated", validate(bronze))
     silver = {name: store(name, df) for name, df in subject_tables(validated, now).items()}
     rows = store("features", features(silver, now, TABLES["feature_state"]))
-    trained = train_and_score(rows, now, trees, iterations)
+    trained = train_and_score(rows, now, trees, iterations, run_id)
     store("metrics", trained.metrics, key=None)
     scores = store("scores", trained.scores)
     fairness = store("fairness", audit(scores, silver["demographic"], rows, trained.best, now), key=None)
@@ -244,9 +249,11 @@ def run(
     queue = store("queue", build_queue(scores, explanations, fairness, now))
     names = {"counselor_name": contact[0], "counselor_email": contact[1]}
     assignments = default_assignments(queue, KEY, names, TABLES["assignment"])
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {TABLES['alerts']} ({ALERT_LOG_SCHEMA}) USING PARQUET")
-    due = staged(build_alerts(queue, assignments, spark.table(TABLES["alerts"]), now))
-    store("alerts", due, mode="append")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {TABLES['alerts']} ({ALERT_LOG_SCHEMA}, run_id STRING) USING PARQUET PARTITIONED BY (run_id)")
+    # What this run has written itself, if it is started again, does not hold its alerts back.
+    log = spark.table(TABLES["alerts"]).where(F.col("run_id") != run_id).drop("run_id")
+    due = staged(build_alerts(queue, assignments, log, now))
+    out["alerts"] = write_run(due, TABLES["alerts"], run_id, KEY)
     return out
 
 

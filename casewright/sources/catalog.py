@@ -51,6 +51,30 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", key: str | No
     return df.sparkSession.table(name)
 
 
+def write_run(df: DataFrame, name: str, run_id: str, key: str | None = None) -> DataFrame:
+    """Put the rows of one run into a table that is partitioned by ``run_id``, all of them or none, once.
+
+    Only the run's own partition is replaced, and it is moved into place when all tasks have ended, so a run that is repeated, or that
+    failed half-way and is started again, leaves each of its rows once. A repeated run without rows changes nothing.
+    """
+    rows = df if key is None else cast_key(df, key)
+    rows = rows.withColumn("run_id", F.lit(run_id))
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        ordered = rows.select(*spark.table(name).columns)
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, "dynamic")  # only partitions that have rows, and only when the job commits
+        try:
+            ordered.write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(setting, before)
+    else:
+        rows.write.format("parquet").partitionBy("run_id").saveAsTable(name)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
