@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.operators.ordering import queue_head, top_n
@@ -81,6 +81,53 @@ def factors_by_tier(queue: DataFrame) -> DataFrame:
     )
 
 
+def dashboard(queue: DataFrame, n: int = 20, key: str = "entity_id", predicted: str = "predicted") -> DataFrame:
+    """(tile, label, detail, n, pct, avg_risk, low_risk, high_risk): all tiles from one pass over the queue.
+
+    Each row is counted once for each of its three reasons; grouping sets add the counts up for every tile at once, in each task before
+    anything is shuffled. What is left has one row for each tier, action, reason, pair of tier and reason, and head entry. ``detail`` is a reason
+    in ``factors_by_tier`` and an action in ``top_priority``, where ``n`` is the rank.
+    """
+    first = F.col("at") == 0
+    head = F.when(first & (F.col("priority_rank") <= n), F.struct("priority_rank", F.col(key).cast("string").alias("id"), "recommended_action"))
+    rows = queue.select(key, "risk_score", predicted, "intervention_tier", "recommended_action", "fairness_review_flag", "priority_rank", F.posexplode(F.array(*FACTORS)).alias("at", "factor"))
+    keyed = rows.select("*", head.alias("head"))
+    once = lambda c: F.when(first, c)
+    risk = once(F.col("risk_score"))
+    sets = [["intervention_tier"], ["recommended_action"], ["factor"], ["intervention_tier", "factor"], ["head"], []]
+    # 1 in the binary number of a row: the column is not part of its set, in the order of the columns.
+    tier, action, factor, both, top, whole = 0b0111, 0b1011, 0b1101, 0b0101, 0b1110, 0b1111
+    grouped = keyed.groupingSets(sets, "intervention_tier", "recommended_action", "factor", "head").agg(
+        F.grouping_id().alias("set"), F.count(once(F.lit(1))).alias("entities"), F.count(F.lit(1)).alias("reasons"), F.avg(risk).alias("avg"), F.min(risk).alias("low"), F.max(risk).alias("high"),
+        F.count_if(first & (F.col("intervention_tier") == "high")).alias("high_tier"), F.count_if(first & (F.col(predicted) == 1)).alias("predicted_positive"),
+        F.count_if(first & (F.col("fairness_review_flag") == 1)).alias("flagged"), F.count_if(first & (F.col("recommended_action") == "high_priority_case_review")).alias("case_review"),
+    )
+    # A few rows a label.
+    total = F.max(F.when(F.col("set") == whole, F.col("entities"))).over(Window.partitionBy())
+    empty = F.lit(None)
+
+    def line(tile: str, label: Column, count: Column, detail: Column = empty, *more: Column) -> Column:
+        pct, avg, low, high = more or [empty.cast("double")] * 4
+        return F.struct(F.lit(tile).alias("tile"), label.cast("string").alias("label"), detail.cast("string").alias("detail"), count.cast("bigint").alias("n"),
+                        pct.alias("pct"), avg.alias("avg_risk"), low.alias("low_risk"), high.alias("high_risk"))
+
+    measures = [F.round(F.lit(100.0) * F.col("entities") / F.col("total"), 2), *[F.round(c, 4) for c in ("avg", "low", "high")]]
+    counts = lambda tile, names: [line(tile, F.lit(name), F.col(name)) for name in names]
+    lines = {
+        whole: counts("needing_support", ["high_tier", "predicted_positive"]) + counts("manual_review", ["flagged", "case_review"]),
+        tier: [line("by_tier", F.col("intervention_tier"), F.col("entities"))],
+        action: [line("action_breakdown", F.col("recommended_action"), F.col("entities"), empty, *measures), line("resources", F.col("recommended_action"), F.col("entities"))],
+        factor: [line("common_factors", F.col("factor"), F.col("reasons"))],
+        both: [line("factors_by_tier", F.col("intervention_tier"), F.col("reasons"), F.col("factor"))],
+        top: [line("top_priority", F.col("head.id"), F.col("head.priority_rank"), F.col("head.recommended_action"))],
+    }
+    chosen = F.array().cast("array<struct<tile:string,label:string,detail:string,n:bigint,pct:double,avg_risk:double,low_risk:double,high_risk:double>>")
+    for number, parts in lines.items():
+        wanted = (F.col("set") == number) & (F.col("head").isNotNull() if number == top else F.lit(True))
+        chosen = F.when(wanted, F.array(*parts)).otherwise(chosen)
+    return grouped.withColumn("total", total).select(F.inline(chosen))
+
+
 def resources_by_action(queue: DataFrame, key: str = "entity_id") -> DataFrame:
     """Entities per action. The queue has one row per entity, so counting rows counts entities."""
     return queue.groupBy("recommended_action").agg(F.count(key).alias("entities"))

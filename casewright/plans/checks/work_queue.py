@@ -213,6 +213,24 @@ def tile_resources(spark, sf_dir):
     return reports.resources_by_action(decided(spark, sf_dir))
 
 
+NO_MEASURES = "CAST(NULL AS DOUBLE) AS pct, CAST(NULL AS DOUBLE) AS avg_risk, CAST(NULL AS DOUBLE) AS low_risk, CAST(NULL AS DOUBLE) AS high_risk"
+
+
+@check("dashboard", f"""WITH {QUEUE}, u AS ({UNPIVOTED})
+SELECT 'needing_support' AS tile, 'high_tier' AS label, CAST(NULL AS VARCHAR) AS detail, count(*) FILTER (WHERE intervention_tier = 'high') AS n, {NO_MEASURES} FROM queue
+UNION ALL SELECT 'needing_support', 'predicted_positive', NULL, count(*) FILTER (WHERE predicted = 1), {NO_MEASURES} FROM queue
+UNION ALL SELECT 'manual_review', 'flagged', NULL, count(*) FILTER (WHERE fairness_review_flag = 1), {NO_MEASURES} FROM queue
+UNION ALL SELECT 'manual_review', 'case_review', NULL, count(*) FILTER (WHERE recommended_action = 'high_priority_case_review'), {NO_MEASURES} FROM queue
+UNION ALL SELECT 'by_tier', intervention_tier, NULL, count(*), {NO_MEASURES} FROM queue GROUP BY intervention_tier
+UNION ALL SELECT 'action_breakdown', recommended_action, NULL, count(*), round(100.0 * count(*) / sum(count(*)) OVER (), 2), round(avg(risk_score), 4), round(min(risk_score), 4), round(max(risk_score), 4) FROM queue GROUP BY recommended_action
+UNION ALL SELECT 'resources', recommended_action, NULL, count(DISTINCT entity_id), {NO_MEASURES} FROM queue GROUP BY recommended_action
+UNION ALL SELECT 'common_factors', factor, NULL, count(*), {NO_MEASURES} FROM u GROUP BY factor
+UNION ALL SELECT 'factors_by_tier', intervention_tier, factor, count(*), {NO_MEASURES} FROM u GROUP BY intervention_tier, factor
+UNION ALL SELECT 'top_priority', CAST(entity_id AS VARCHAR), recommended_action, priority_rank, {NO_MEASURES} FROM queue WHERE priority_rank <= 20""")
+def dashboard(spark, sf_dir):
+    return reports.dashboard(ranked_queue(spark, sf_dir))
+
+
 # --- SQL functions ----------------------------------------------------------------------------
 
 PROFILE_COLUMNS = "entity_id, dropout_risk_score, financial_stress_index, grade1, target"
