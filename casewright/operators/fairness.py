@@ -143,6 +143,16 @@ def gap_report(
     )
 
 
+def reviewed_gaps(report: DataFrame, model_name: str, as_of: Column, limit: float = 0.10) -> DataFrame:
+    """A gap report with the model, the time, and flags: per row if a gap exceeds the limit, and whether any row's does."""
+    gaps = ["demographic_parity_gap", "equal_opportunity_gap"]
+    flagged = report.withColumn("review_required_flag", review_flag(gaps, limit))
+    any_row = flagged.agg(F.max("review_required_flag")).scalar()
+    return flagged.select(
+        F.lit(model_name).alias("model_name"), "*", any_row.alias("global_review_required"), as_of.cast("timestamp").alias("audit_ts")
+    )
+
+
 def fairness_status(parity_ratio: str, odds_difference: str) -> Column:
     ratio, odds = F.col(parity_ratio), F.abs(odds_difference)
     return case_rules(

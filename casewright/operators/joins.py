@@ -17,7 +17,7 @@ def star_join(base: DataFrame, dims: Sequence[DataFrame], key: str, how: str = "
     """Join tables that share one key.
 
     All joins use the same key, so every input is exchanged once and the running result is not
-    exchanged again.
+    exchanged again. Inputs stored by ``write_bucketed`` with equal buckets are not exchanged at all.
     """
     return reduce(lambda left, right: left.join(right, key, how), dims, base)
 

@@ -226,6 +226,16 @@ def feature_view_full(spark, sf_dir):
     return f.feature_view(horizon_rows(spark, sf_dir), "full", VIEW_BASE)
 
 
+@check("background_features", f"""WITH {SUBJ} SELECT entity_id,
+  CASE WHEN age <= 20 THEN 'Teen' WHEN age <= 25 THEN 'Young_Adult' WHEN age <= 35 THEN 'Adult' ELSE 'Mature' END AS age_group,
+  {half_up('admission - prior_grade', 2)} AS qualification_to_admission_gap, (gender + app_order) / 2 AS parent_education_index,
+  {half_up('age * noeval1 / CAST(100 AS DOUBLE)', 2)} AS age_x_absenteeism,
+  {half_up('coalesce(CAST(scholar AS DOUBLE), 0) * 0.5 + coalesce(CAST(noeval1 AS DOUBLE), 0) * 0.3 + coalesce(CAST(noeval2 AS DOUBLE), 0) * -0.2', 4)} AS macro_risk_score FROM subj""")
+def background_features(spark, sf_dir):
+    columns = f.background_columns("age", "admission", "prior_grade", ("gender", "app_order"), "noeval1", ("scholar", "noeval1", "noeval2"))
+    return subjects(spark, sf_dir).withColumns(columns).select("entity_id", *f.BACKGROUND_FEATURES)
+
+
 @check("drop_protected", f"WITH {SUBJ} SELECT * EXCLUDE (gender, age, segment, grade1, grade2, prior_grade, admission) FROM subj")
 def drop_protected(spark, sf_dir):
     rows = subjects(spark, sf_dir).drop("grade1", "grade2", "prior_grade", "admission")

@@ -319,6 +319,16 @@ def gap_report(spark, sf_dir):
     return rounded(fairness.gap_report(labelled_documents(spark, sf_dir), ["lang", "source"]))
 
 
+@check("gap_report_reviewed", f"""WITH {DOC_RATES}, g AS (SELECT protected_attribute, group_name, selection_rate - (SELECT avg(predicted) FROM docs) AS dp,
+  true_positive_rate - (SELECT avg(predicted) FROM docs WHERE actual = 1) AS eo FROM rates), f AS (SELECT *, CAST(abs(dp) > 0.1 OR abs(eo) > 0.1 AS INTEGER) AS flag FROM g)
+SELECT 'length_rule' AS model_name, protected_attribute, group_name, flag AS review_required_flag, (SELECT max(flag) FROM f) AS global_review_required,
+  TIMESTAMP '2024-01-31 00:00:00' AS audit_ts FROM f""")
+def gap_report_reviewed(spark, sf_dir):
+    report = fairness.gap_report(labelled_documents(spark, sf_dir), ["lang", "source"])
+    reviewed = fairness.reviewed_gaps(report, "length_rule", F.lit("2024-01-31 00:00:00"))
+    return reviewed.select("model_name", "protected_attribute", "group_name", "review_required_flag", "global_review_required", "audit_ts")
+
+
 @check("fairness_status", f"""WITH {SCORED}, {AUDIT} SELECT protected_attribute,
   CASE WHEN demographic_parity_ratio BETWEEN 0.8 AND 1.25 AND abs(equalized_odds_difference) < 0.1 THEN 'PASS'
        WHEN demographic_parity_ratio BETWEEN 0.7 AND 1.3 THEN 'REVIEW' ELSE 'FAIL' END AS status,

@@ -184,6 +184,22 @@ def macro_risk_score(unemployment: str, inflation: str, gdp: str) -> Column:
     return x.weighted_score([(unemployment, 0.5, 0), (inflation, 0.3, 0), (gdp, -0.2, 0)])
 
 
+BACKGROUND_FEATURES = ["age_group", "qualification_to_admission_gap", "parent_education_index", "macro_risk_score", "age_x_absenteeism"]
+
+
+def background_columns(
+    age: str, admission: str, earlier_grade: str, parents: tuple[str, str], absences: str, macro: tuple[str, str, str] | None = None
+) -> dict[str, Column]:
+    """Demographic, family and macro-economic features; the macro score only where its three columns are there."""
+    columns = {
+        "age_group": age_group(age),
+        "qualification_to_admission_gap": F.round(x.delta(admission, earlier_grade), 2),
+        "parent_education_index": x.mean_of(*parents),
+        "age_x_absenteeism": F.round(F.col(age) * F.col(absences) / F.lit(100.0), 2),
+    }
+    return columns if macro is None else columns | {"macro_risk_score": macro_risk_score(*macro)}
+
+
 def composite_risk(stress: str, absences: str, approval_rate: str, grade: str, rigor: str) -> Column:
     """Weighted risk; unbounded above because absences are not capped."""
     failing = F.when(F.col(grade) < 10, F.lit(0.2)).otherwise(F.lit(0.0))
@@ -279,7 +295,8 @@ def feature_view(
 ) -> DataFrame:
     """``early`` leaves out everything that is only known after the second period; ``full`` has all."""
     lists = {"early": [base, EARLY_FEATURES], "full": [base, EARLY_FEATURES, LATE_FEATURES]}[horizon]
-    return df.select(*column_list(*lists), *column_list(optional, available=df.columns))
+    background = [c for c in BACKGROUND_FEATURES if c not in optional]
+    return df.select(*column_list(*lists), *column_list(optional, background, available=df.columns))
 
 
 def drop_protected(df: DataFrame, attributes: Sequence[str]) -> DataFrame:

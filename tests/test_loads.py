@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from casewright.operators import loads
 from casewright.operators.identity import with_record_hash
+from casewright.operators.joins import star_join
 from casewright.operators.ordering import with_arrival_id
-from casewright.sources.catalog import write_run
+from casewright.sources.catalog import write_bucketed, write_run
 from casewright.sources.files import read_csv
 
 
@@ -46,6 +47,23 @@ def test_only_changed_buckets_are_read(spark):
         loads.changed_rows(first, loads.store_fingerprints(with_record_hash(old), "k", buckets=8))
 
 
+def test_bucketed_tables_join_without_an_exchange(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS star_test")
+    parts = [spark.range(500).select(F.col("id").alias("k"), (F.col("id") * n).alias(f"v{n}")) for n in range(8)]
+    plain = star_join(parts[0], parts[1:], "k")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = [write_bucketed(p, f"star_test.part{n}", "k", 4) for n, p in enumerate(parts)]
+        for how in ("inner", "left"):
+            joined = star_join(stored[0], stored[1:], "k", how)
+            assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+            assert sorted(joined.collect()) == sorted(plain.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.sql("DROP DATABASE star_test CASCADE")
+
+
 def test_a_run_is_written_once(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS runs_test")
     name = "runs_test.log"
