@@ -35,9 +35,11 @@ TABLES = {
 TABLES["feature_state"] = "dropout_feature.fitted_group_statistics"
 
 
-def ensure_schemas(spark: SparkSession, names: Iterable[str]) -> None:
+def ensure_schemas(spark: SparkSession, names: Iterable[str], root: str | None = None) -> None:
+    """Create the databases that are missing, in folders under ``root`` if it is given, else in the warehouse."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+        place = "" if root is None else f" LOCATION '{root}/{name}'"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
 def layer_names(tables: Iterable[str] = TABLES.values()) -> list[str]:
