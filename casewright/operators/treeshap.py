@@ -84,24 +84,65 @@ def tree_leaves(nodes: dict[int, object], positive: int = 1) -> list[Leaf]:
     return leaves
 
 
-def leaf_contributions(
-    features: np.ndarray, low: np.ndarray, high: np.ndarray, cover: np.ndarray, value: float,
-    matrix: np.ndarray, out: np.ndarray,
-) -> None:
-    """Add one leaf's contributions for all rows; rows with the same match pattern share the work."""
-    m = len(features)
-    if m == 0:
-        return
-    x = matrix[:, features]
-    match = (x > low) & (x <= high)
-    _, first, group = np.unique(match @ (1 << np.arange(m)), return_index=True, return_inverse=True)
-    o = match[first].astype(np.float64)
-    nodes, weights = np.polynomial.legendre.leggauss(m // 2 + 1)
+class Pack(NamedTuple):
+    """Leaves with paths of one length: arrays (leaves, length) and the values."""
+
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    cover: np.ndarray
+    value: np.ndarray
+
+
+#: Numbers in the largest array that a batch works on.
+ARRAY = 1 << 21
+
+
+def packed(trees: list[list[Leaf]]) -> list[Pack]:
+    """The leaves of all trees by the length of their path; a leaf without a path contributes nothing."""
+    by_length: dict[int, list[Leaf]] = {}
+    for leaf in (leaf for leaves in trees for leaf in leaves):
+        by_length.setdefault(len(leaf.features), []).append(leaf)
+    stack = lambda leaves, field: np.stack([getattr(leaf, field) for leaf in leaves])
+    return [
+        Pack(*[stack(leaves, field) for field in ("features", "low", "high", "cover")], np.array([leaf.value for leaf in leaves]))
+        for length, leaves in sorted(by_length.items()) if length
+    ]
+
+
+def _contributions(match: np.ndarray, cover: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """What each feature of each leaf contributes for each row of matches (rows, leaves, length)."""
+    o = match.astype(np.float64)
+    nodes, weights = np.polynomial.legendre.leggauss(o.shape[2] // 2 + 1)
     share = np.zeros_like(o)
     for t, w in zip((nodes + 1) / 2, weights / 2):
         factor = cover * (1 - t) + o * t
-        share += w * factor.prod(axis=1, keepdims=True) / factor
-    out[:, features] += ((o - cover) * share * value)[group]
+        share += w * factor.prod(axis=2, keepdims=True) / factor
+    return (o - cover) * share * value[:, None]
+
+
+def pack_contributions(pack: Pack, matrix: np.ndarray, out: np.ndarray) -> None:
+    """Add the contributions of a pack for all rows, many leaves at a time.
+
+    Rows can match a path in two to the power of its length ways; where there are more rows than that, each way is worked out once.
+    """
+    length = pack.features.shape[1]
+    ways = 1 << length if length < 16 else len(matrix)
+    table = len(matrix) > ways
+    patterns = (np.arange(ways)[:, None, None] >> np.arange(length)) & 1 if table else None
+    at_once = max(1, ARRAY // (length * max(len(matrix), 1)))
+    for first in range(0, len(pack.value), at_once):
+        features, low, high, cover, value = (part[first : first + at_once] for part in pack)
+        x = matrix[:, features]
+        match = (x > low) & (x <= high)
+        if table:
+            known = _contributions(np.broadcast_to(patterns, (ways, *features.shape)), cover, value)
+            amounts = known[match @ (1 << np.arange(length)), np.arange(len(value))]
+        else:
+            amounts = _contributions(match, cover, value)
+        order = np.argsort(features, axis=None, kind="stable")
+        names, starts = np.unique(features.ravel()[order], return_index=True)
+        out[:, names] += np.add.reduceat(amounts.reshape(len(matrix), -1)[:, order], starts, axis=1)
 
 
 def base_value(trees: list[list[Leaf]]) -> float:
@@ -119,7 +160,7 @@ def tree_contributions(
     spark = rows.sparkSession
     trees = [tree_leaves(nodes) for nodes in forest_nodes(spark, forest)]
     # Plain tuples, and functions pickled by value: workers need not have this package installed.
-    shared = spark.sparkContext.broadcast([[tuple(leaf) for leaf in leaves] for leaves in trees])
+    shared, count = spark.sparkContext.broadcast([tuple(pack) for pack in packed(trees)]), len(trees)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -127,10 +168,9 @@ def tree_contributions(
             if len(batch):
                 matrix = np.stack(batch["_x"].to_numpy())
                 out = np.zeros_like(matrix)
-                for leaves in shared.value:
-                    for leaf in leaves:
-                        leaf_contributions(*leaf, matrix, out)
-                result[name] = list(out / len(shared.value))
+                for pack in shared.value:
+                    pack_contributions(Pack(*pack), matrix, out)
+                result[name] = list(out / count)
             else:
                 result[name] = []
             yield result

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from casewright.functions import messages
 from casewright.functions.actions import risk_level
 from casewright.functions.reasons import base_feature, is_sensitive
 from casewright.operators import explain, fairness, learning, metrics, statistics, treeshap
@@ -260,6 +261,20 @@ def model_metrics(spark, sf_dir):
     return metrics.metrics_table(spark, results, "random_forest_baseline", F.lit("2024-01-31 00:00:00"))
 
 
+@check("payload_fields", f"""WITH {SCORED} SELECT CAST(entity_id AS VARCHAR) AS entity, CASE WHEN risk_score > 0.7 THEN 'CRITICAL' WHEN risk_score > 0.5 THEN 'HIGH' ELSE 'MEDIUM' END AS risk_level,
+  round(risk_score, 4) AS probability, absenteeism_index AS absences FROM scored WHERE predicted = 1""")
+def payload_fields(spark, sf_dir):
+    """The document of each entity, read back."""
+    scored = stored_scores(spark, sf_dir)
+    document = messages.explain_payload("entity_id", "risk_score", F.lit(0.5), {"absences": F.col("absenteeism_index")}, [(F.lit("absences"), F.col("absenteeism_index"), F.col("contrib_absenteeism_index"))])
+    kind = "student_id string, prediction struct<dropout_probability: double, risk_level: string>, student_features struct<absences: bigint>"
+    read = explained_rows(scored).select(F.from_json(document, kind).alias("p"))
+    return read.select(
+        F.col("p.student_id").alias("entity"), F.col("p.prediction.risk_level").alias("risk_level"),
+        F.round("p.prediction.dropout_probability", 4).alias("probability"), F.col("p.student_features.absences").alias("absences"),
+    )
+
+
 # --- fairness ---------------------------------------------------------------------------------
 
 DOCS = """docs AS (SELECT doc_id, lang, source, quality AS actual, CAST(n_chars >= 600 AS INTEGER) AS predicted

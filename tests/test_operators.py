@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from casewright.functions import actions, expressions as x, messages
 from casewright.functions.reasons import describe_names, is_sensitive, reason_of
 from casewright.operators import alerts, explain, fairness, identity, joins, learning, metrics, ordering, quality, statistics
-from casewright.operators.treeshap import Leaf, base_value, leaf_contributions
+from casewright.operators.treeshap import Leaf, base_value, pack_contributions, packed
 from casewright.plans import features
 from casewright.sources import catalog, files, names
 from casewright.vocabulary import ACADEMIC_REASONS, FINANCIAL_REASONS, OTHER_REASON
@@ -269,11 +269,13 @@ def test_tree_contributions_equal_brute_force_shapley():
         Leaf(np.array([0]), np.array([0.5]), np.array([inf]), np.array([0.4]), 0.25),
     ]
     matrix = np.random.default_rng(0).normal(0.5, 1, (40, 3))
-    out = np.zeros_like(matrix)
-    for leaf in leaves:
-        leaf_contributions(*leaf, matrix, out)
-    for row, got in zip(matrix, out):
-        assert got == pytest.approx(shapley(leaves, row, 3))
+    # With more rows than ways to match a path, and with fewer.
+    for rows in (matrix, matrix[:3]):
+        out = np.zeros_like(rows)
+        for pack in packed([leaves]):
+            pack_contributions(pack, rows, out)
+        for row, got in zip(rows, out):
+            assert got == pytest.approx(shapley(leaves, row, 3))
     assert base_value([leaves]) == pytest.approx(sum(lf.value * lf.cover.prod() for lf in leaves))
 
 
