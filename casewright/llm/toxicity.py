@@ -24,8 +24,9 @@ BUCKETS = 1 << 18
 #: Training documents of each label, those first in the order of a hash of the id.
 TRAIN_ROWS = 4_000
 STEPS, RATE = 200, 0.1
-#: A word's weight stays zero unless more than this, as a sum of gradients over documents, speaks for it.
-EVIDENCE = 0.3
+#: A word's weight stays zero unless more than this, as a sum of gradients over documents, speaks for it. That is for ``POSITIVES`` toxic
+#: training documents or more; with fewer, less is asked for, in proportion to the root of their number, as chance brings less together.
+EVIDENCE, POSITIVES = 0.3, 300
 THRESHOLD = 0.7
 
 
@@ -69,6 +70,7 @@ def _descend(word: np.ndarray, sentence: np.ndarray, row: np.ndarray, label: np.
     w = np.zeros(len(used) + 2)  # words, bias, leak
     w[-2], w[-1] = -5.0, -3.0
     m, v = np.zeros_like(w), np.zeros_like(w)
+    evidence = EVIDENCE * min(1.0, (label.sum() / POSITIVES) ** 0.5)
     for step in range(1, STEPS + 1):
         z = np.clip(np.bincount(sentence, w[:-2][word], n_sentence) + w[-2], -30, 30)
         p = 1 / (1 + np.exp(-z))
@@ -83,7 +85,7 @@ def _descend(word: np.ndarray, sentence: np.ndarray, row: np.ndarray, label: np.
         scale = RATE / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         w = w - scale * m / (1 - 0.9**step)
         words = w[:-2]
-        w[:-2] = np.sign(words) * np.maximum(np.abs(words) - scale[:-2] * EVIDENCE / n_doc, 0)
+        w[:-2] = np.sign(words) * np.maximum(np.abs(words) - scale[:-2] * evidence / n_doc, 0)
     out = np.zeros(BUCKETS + 1)
     out[used], out[-1] = w[:-2], w[-2]
     return out

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from casewright.llm import decontaminate, jaccard, pieces, quality, shards
+from casewright.llm import decontaminate, jaccard, pieces, quality, queries, shards
 from casewright.llm.text import fresh
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, _text string, _key string, _hash int, spans int, hits string, whole_row int, own_hash string"
@@ -29,6 +29,15 @@ def test_colliding_words_stay_apart(spark, n):
     assert {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1}
 
 
+def test_few_labels_are_learned_from(spark):
+    """A small table: over half of the held-out toxic documents are found, and clean ones left alone."""
+    folder = "/root/testdata/sf0.01"
+    marked = queries.toxic(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out")
+    row = marked.agg(F.count_if(F.col("toxic") == 1).alias("all"), F.count_if((F.col("toxic") == 1) & (F.col("predicted") == 1)).alias("found"),
+                     F.count_if((F.col("toxic") == 0) & (F.col("predicted") == 1)).alias("wrong"), F.count_if(F.col("toxic") == 0).alias("clean")).first()
+    assert 2 * row["found"] >= row["all"] > 0 and 20 * row["wrong"] <= row["clean"]
+
+
 def test_fresh_names():
     assert fresh(["a", "_B", "__b"], "a", "b", "c", "c") == ["_a", "b", "c", "_c"]
 
