@@ -464,12 +464,13 @@ def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS FROM '{folder}/{t}.parquet'")
-    want = con.sql(queries.ORACLES[name]).df()
-    got = queries.QUERIES[name](spark, folder).toPandas()
-    columns = sorted(want.columns)
-    assert sorted(got.columns) == columns
-    as_rows = lambda df: sorted(map(tuple, df[columns].astype(str).to_numpy().tolist()))
-    assert as_rows(got) == as_rows(want)
+    answer = con.execute(queries.ORACLES[name])
+    names = [column[0] for column in answer.description]
+    got = queries.QUERIES[name](spark, folder)
+    assert sorted(got.columns) == sorted(names)
+    # Nulls and kinds of numbers as the engines have them, not as pandas shows columns with gaps.
+    as_rows = lambda rows: sorted(tuple("" if v is None else str(v) for v in row) for row in rows)
+    assert as_rows(got.select(*names).collect()) == as_rows(answer.fetchall())
 
 
 def test_pipeline_stages(spark):
