@@ -38,6 +38,8 @@ WORDS = 5
 #: Ids of documents to read again are broadcast up to this many rows; beyond it Spark shuffles both sides.
 BROADCAST_ROWS = 1_000_000
 STAR_ROUNDS = 6
+#: Bits of a node's sketch.
+SKETCH = 512
 #: Pairs per posting up to which all remaining pairs between components are compared at once, and pivots of a token after the first round.
 SETTLE = 8
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -142,7 +144,8 @@ def _shared_counts(sets: DataFrame) -> DataFrame:
 def _prefixes(sets: DataFrame) -> DataFrame:
     """(node, n, s, p1, p2, p3): prefixes under three orders by frequency, without tokens that no other node has.
 
-    ``s`` counts the tokens that another node has: a bound for what the node has in common with any.
+    ``s`` counts the tokens that another node has: a bound for what the node has in common with any. ``k`` is a sketch of these
+    tokens, one of ``SKETCH`` bits for each: a bit that another node's sketch does not have is a token that it does not have.
 
     Tokens of one node only are the rarest, so they come first in each order and use up the prefix.
     The frequencies go back to the nodes packed too, one row from each bin of tokens to each bin of nodes.
@@ -174,7 +177,10 @@ def _prefixes(sets: DataFrame) -> DataFrame:
             n = batch.column("n").to_numpy()
             bound = np.concatenate(([0], np.cumsum(counts)))
             out: list[list[np.ndarray]] = [[], [], []]
-            used = []
+            used, sketches = [], np.zeros((len(n), SKETCH // 64), np.uint64)
+            place = mixed(tokens.view(np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(SKETCH)
+            owner = np.repeat(np.arange(len(n)), counts)
+            np.bitwise_or.at(sketches, (owner, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
             for i, size in enumerate(n):
                 t, f = tokens[bound[i] : bound[i + 1]], df[bound[i] : bound[i + 1]]
                 room = size - (3 * size + 3) // 4 + 1 - (size - len(t))
@@ -189,15 +195,19 @@ def _prefixes(sets: DataFrame) -> DataFrame:
                 sizes = np.minimum(sizes, [len(x) for x in out[0]])
                 columns = [lists(np.concatenate(o), sizes, pa.int64()) for o in out]
                 own = [batch.column("node").filter(keep), batch.column("n").filter(keep), pa.array(counts.astype(np.int64)).filter(keep)]
-                yield pa.RecordBatch.from_arrays([*own, *columns], names=["node", "n", "s", "p1", "p2", "p3"])
+                mine = sketches[np.array(used) > 0]
+                own.append(lists(_signed(mine.ravel()), np.full(len(mine), SKETCH // 64), pa.int64()))
+                yield pa.RecordBatch.from_arrays([*own, *columns], names=["node", "n", "s", "k", "p1", "p2", "p3"])
 
-    return gathered.select("node", "n", "t", "f").mapInArrow(cut, "node bigint, n bigint, s bigint, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
+    return gathered.select("node", "n", "t", "f").mapInArrow(cut, "node bigint, n bigint, s bigint, k array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
 
 
-def _may_link(n: str, s: str, other_n: str, other_s: str) -> Column:
-    """A link needs 7 * common >= 3 * (n + other n), and what is common is in both counts of shared tokens and in both sets."""
-    common = F.least(n, s, other_n, other_s)
-    return 7 * common >= 3 * (F.col(n) + F.col(other_n))
+def _may_link(n: str, s: str, k: str, other_n: str, other_s: str, other_k: str) -> Column:
+    """A link needs 7 * common >= 3 * (n + other n); what is common is among the shared tokens of both, without those whose bit the other lacks."""
+    lacking = lambda one, two: F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda a, b: a + b)
+    enough = lambda common: 7 * common >= 3 * (F.col(n) + F.col(other_n))
+    sketched = F.least(F.col(s) - lacking(k, other_k), F.col(other_s) - lacking(other_k, k))
+    return F.when(enough(F.least(n, s, other_n, other_s)), enough(sketched)).otherwise(F.lit(False))
 
 
 def _links(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -211,8 +221,8 @@ def _links(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
-    """(node, n, s, token): who has which prefix token. Of tokens that the same nodes have, one stands for all."""
-    every = staged(prefixes.select("node", "n", "s", F.explode("p1").alias("token")))
+    """(node, n, s, k, token): who has which prefix token. Of tokens that the same nodes have, one stands for all."""
+    every = staged(prefixes.select("node", "n", "s", "k", F.explode("p1").alias("token")))
     mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "node") % (1 << 40))
     owners = every.groupBy("token").agg(F.count(F.lit(1)).alias("k"), mark(1).alias("one"), mark(2).alias("two")).where("k > 1")
     kept = staged(owners.groupBy("k", "one", "two").agg(F.min("token").alias("token")).select("token"))
@@ -248,17 +258,17 @@ def _linked(sets: DataFrame) -> DataFrame:
         if not entries:
             break
         rest = now.join(top.select("token", "top"), "token")
-        renamed = {"node": "a", "component": "ca", "n": "an", "s": "as"}
+        renamed = {"node": "a", "component": "ca", "n": "an", "s": "as", "k": "ak"}
         strays = rest.where("component <> top").select("token", *[F.col(c).alias(new) for c, new in renamed.items()])
-        possible = _may_link("n", "s", "an", "as")
+        possible = _may_link("n", "s", "k", "an", "as", "ak")
         last = cost <= SETTLE * entries or turn == STAR_ROUNDS - 1
         if last:
-            pairs = strays.join(rest.select("token", "node", "component", "n", "s"), "token").where((F.col("ca") != F.col("component")) & possible)
+            pairs = strays.join(rest.select("token", "node", "component", "n", "s", "k"), "token").where((F.col("ca") != F.col("component")) & possible)
         else:
             # Pivots for each token, among those outside its largest component: one that joins most of a group, then several.
             # Each is the first in an order of all nodes, so tokens of one group mostly have the same ones.
             seeds = range(1) if turn == 0 else range(turn * SETTLE, (turn + 1) * SETTLE)
-            firsts = [F.min_by(F.struct("a", "ca", "an", "as"), F.xxhash64("a", F.lit(seed))) for seed in seeds]
+            firsts = [F.min_by(F.struct("a", "ca", "an", "as", "ak"), F.xxhash64("a", F.lit(seed))) for seed in seeds]
             pivot = staged(strays.groupBy("token").agg(F.array_distinct(F.array(*firsts)).alias("p"))).select("token", F.inline("p"))
             pairs = rest.join(pivot, "token").where((F.col("component") != F.col("ca")) & possible)
         labels = _joined(labels, staged(_links(ordered(pairs.select("a", F.col("node").alias("b"))), prefixes, sets)))
