@@ -45,10 +45,11 @@ def pending_alerts(
 def render_alerts(
     pending: DataFrame, key: str = "entity_id", name: str = "counselor_name", queued_at: str = "queue_ts"
 ) -> DataFrame:
+    shown = F.round("risk_score", 3)  # half up on the printed digits
     return pending.withColumns(
         {
-            "alert_subject": alert_subject(key, "risk_score"),
-            "alert_body": alert_body(name, key, "risk_score", "recommended_action", REASONS, queued_at),
+            "alert_subject": alert_subject(key, shown),
+            "alert_body": alert_body(name, key, shown, "recommended_action", REASONS, queued_at),
         }
     )
 

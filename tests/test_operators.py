@@ -112,6 +112,17 @@ def test_payload_and_message_text(spark):
     assert df.select(messages.alert_subject("id", "s")).first()[0] == "Student Risk Alert: Student 7 score 0.800"
 
 
+def test_alert_subject_rounds_the_stored_value(spark):
+    rng = random.Random(5)
+    scores = [0.0, 0.0005, 0.0625, 0.1235, 0.1875, 0.3125, 0.9995, 1.0005, 2.5e-9, 123456.0625, -0.0015, -0.0, *[k / 16 for k in range(40)]]
+    scores += [rng.randrange(10**7) / 2000 for _ in range(2000)] + [rng.randrange(100_191, 50_000_000) / 100 / 500000 for _ in range(3000)]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "id bigint, s double")
+    got = dict(rows.select("id", messages.alert_subject("id", "s")).collect())
+    assert got == {i: "Student Risk Alert: Student %d score %.3f" % (i, s) for i, s in enumerate(scores)}
+    gaps = spark.createDataFrame([(None, 0.5), (7, None)], "id bigint, s double")
+    assert [r[0] for r in gaps.select(messages.alert_subject("id", "s")).collect()] == [None, None]
+
+
 def test_factor_table_and_plan(spark):
     df = frame(spark, [("sem1_grade", 9.0), ("sem1_grade", 11.0), ("sem1_absenteeism", 4.0), ("zzz", 1.0)], "f string, n double")
     picked = df.withColumn("v", actions.factor_intervention("f", "n")["intervention_priority"])
