@@ -2,13 +2,15 @@
 
 The wanted value of a cut lies between two bounds. Each round counts the rows between them in ``BUCKETS`` equal steps (added up
 before anything is shuffled, so a task sends one row a bucket) and keeps the step in which the running weight passes the
-wanted share; its smallest and largest value are the next bounds. All cuts of all columns share a round. Once few rows are left,
-or one value, their distinct values are added up in order. No column is sorted and nothing is approximate.
+wanted share; its smallest and largest value are the next bounds. All cuts of a column share a round, and cuts with the same bounds
+are counted once; a pass reads a few columns. Once few rows are left, or one value, their distinct values are added up in order. No column is sorted and nothing is approximate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 from casewright.session import staged
 
 BUCKETS = 1 << 14
+#: Columns that one pass works on; only they are read in it.
+WIDTH = 4
 #: Rows between two bounds that are added up by value in one window.
 FINISH = 1 << 18
 #: Rounds before rows that steps of equal width do not part are put in order on many executors.
@@ -57,20 +61,26 @@ def _inside(df: DataFrame, cut: Cut) -> Column:
     return _counts(cut) & (~F.isnan(v) & (F.abs(v) < float("inf")) if _floating(df, cut) else F.lit(True))
 
 
+def _chunks(items: Sequence) -> list[Sequence]:
+    """``WIDTH`` columns at a time: the code that Spark generates for more of them is too long to be compiled by the JVM."""
+    return [items[i : i + WIDTH] for i in range(0, len(items), WIDTH)]
+
+
 def _first_bounds(df: DataFrame, cuts: Mapping[str, Cut]) -> tuple[dict[str, _Bounds], dict[str, object]]:
-    """Bounds of each cut from one aggregation; cuts without rows, or at an infinity or NaN, have their value already."""
-    columns, at = [], {}
-    for cut in {(c.value, c.weight): c for c in cuts.values()}.values():
-        v, w, inside, i = F.col(cut.value), _weight(cut), _inside(df, cut), len(columns)
-        at[cut.value, cut.weight] = i
-        special = [F.lit(float("-inf")), F.lit(float("inf"))] if _floating(df, cut) else []
-        columns += [F.sum(F.when(_counts(cut), w)), F.sum(F.when(inside, w)), F.count_if(inside), F.min(F.when(inside, v)), F.max(F.when(inside, v))]
-        columns += [F.sum(F.when(_counts(cut) & (v == s), w)) for s in special] or [F.lit(0), F.lit(0)]
-    row = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first() if columns else []
+    """Bounds of each cut from one aggregation a chunk; cuts without rows, or at an infinity or NaN, have their value already."""
+    first: dict[tuple[str, str | None], list] = {}
+    for chunk in _chunks(list({(c.value, c.weight): c for c in cuts.values()}.values())):
+        columns = []
+        for cut in chunk:
+            v, w, inside = F.col(cut.value), _weight(cut), _inside(df, cut)
+            special = [F.lit(float("-inf")), F.lit(float("inf"))] if _floating(df, cut) else []
+            columns += [F.sum(F.when(_counts(cut), w)), F.sum(F.when(inside, w)), F.count_if(inside), F.min(F.when(inside, v)), F.max(F.when(inside, v))]
+            columns += [F.sum(F.when(_counts(cut) & (v == s), w)) for s in special] or [F.lit(0), F.lit(0)]
+        row = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first()
+        first |= {(cut.value, cut.weight): row[7 * i : 7 * i + 7] for i, cut in enumerate(chunk)}
     bounds, known = {}, {}
     for name, cut in cuts.items():
-        i = at[cut.value, cut.weight]
-        total, finite, rows, low, high, least, most = (x or 0 if k not in (3, 4) else x for k, x in enumerate(row[i : i + 7]))
+        total, finite, rows, low, high, least, most = (x or 0 if k not in (3, 4) else x for k, x in enumerate(first[cut.value, cut.weight]))
         wanted = cut.fraction * float(total)
         if not total:
             known[name] = None
@@ -85,36 +95,71 @@ def _first_bounds(df: DataFrame, cuts: Mapping[str, Cut]) -> tuple[dict[str, _Bo
     return bounds, known
 
 
-def _between(df: DataFrame, cuts: Mapping[str, Cut], bounds: Mapping[str, _Bounds], step: bool) -> DataFrame:
-    """(cut, step, v, w): the rows of each cut between its bounds."""
-    entries = []
-    for number, name in enumerate(bounds):
-        cut, b = cuts[name], bounds[name]
-        v = F.col(cut.value)
-        low, high = F.lit(b.low).cast("double") / 2, F.lit(b.high).cast("double") / 2  # halves: the distance stays finite
+class _Range(NamedTuple):
+    """What one pass counts once: the values of a column between two bounds, for all cuts that have them."""
+
+    value: str
+    weight: str | None
+    low: object
+    high: object
+
+
+def _ranges(cuts: Mapping[str, Cut], bounds: Mapping[str, _Bounds]) -> dict[str, _Range]:
+    return {name: _Range(cuts[name].value, cuts[name].weight, b.low, b.high) for name, b in bounds.items()}
+
+
+def _between(df: DataFrame, ranges: Mapping[_Range, int], step: bool) -> DataFrame:
+    """(range, step, v, w): the rows of each range. Ranges of a column are equal or disjoint, so a row is in one of them at most."""
+    columns: dict[tuple[str, str | None], list[_Range]] = {}
+    for r in ranges:
+        columns.setdefault((r.value, r.weight), []).append(r)
+    entries, wanted = [], []
+    for (value, weight), mine in columns.items():
+        cut, v = Cut(value, 0.0, weight), F.col(value)
+        number = low = high = F.lit(None)
+        for r in mine:
+            here = v.between(F.lit(r.low), F.lit(r.high))
+            # Halves: the distance stays finite.
+            number = F.when(here, F.lit(ranges[r])).otherwise(number)
+            low = F.when(here, F.lit(r.low).cast("double") / 2).otherwise(low)
+            high = F.when(here, F.lit(r.high).cast("double") / 2).otherwise(high)
         # Whole numbers that are one double are not parted here.
         share = F.coalesce(F.try_divide(v.cast("double") / 2 - low, high - low), F.lit(0.0))
         place = F.floor(share * F.lit(float(BUCKETS))) if step else F.lit(0)
-        entry = F.struct(F.lit(number).alias("cut"), F.least(F.lit(BUCKETS - 1), place).cast("int").alias("step"), v.alias("v"), _weight(cut).alias("w"))
-        entries.append(F.when(_inside(df, cut) & v.between(F.lit(b.low), F.lit(b.high)), entry))
-    needed = dict.fromkeys(c for name in bounds for c in (cuts[name].value, cuts[name].weight) if c)
-    rows = df.select(*needed).select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
-    return rows.select("e.*")
+        entry = F.struct(number.cast("int").alias("range"), F.least(F.lit(BUCKETS - 1), place).cast("int").alias("step"), v.alias("v"), _weight(cut).alias("w"))
+        among = _inside(df, cut) & reduce(or_, [v.between(F.lit(r.low), F.lit(r.high)) for r in mine])
+        wanted.append(among)
+        entries.append(F.when(among, entry))
+    needed = dict.fromkeys(c for column in columns for c in column if c)
+    rows = df.select(*needed).where(reduce(or_, wanted))
+    if len(entries) == 1:
+        return rows.select(entries[0].alias("e")).select("e.*")
+    return rows.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL").select("e.*")
+
+
+def _passes(cuts: Mapping[str, Cut], bounds: Mapping[str, _Bounds], kinds: Mapping[str, str]) -> Iterator[dict[str, _Bounds]]:
+    """The bounds that are worked on in one pass: a few columns of one type."""
+    for kind in sorted({kinds[name] for name in bounds}):
+        names = [name for name in bounds if kinds[name] == kind]
+        for chunk in _chunks(list(dict.fromkeys((cuts[name].value, cuts[name].weight) for name in names))):
+            yield {name: bounds[name] for name in names if (cuts[name].value, cuts[name].weight) in chunk}
 
 
-def _goals(spark, bounds: Mapping[str, _Bounds]) -> DataFrame:
-    """One row a cut."""
-    rows = [(i, float(b.wanted), float(b.below)) for i, b in enumerate(bounds.values())]
-    return F.broadcast(spark.createDataFrame(rows, "cut int, wanted double, below double"))
+def _goals(spark, bounds: Mapping[str, _Bounds], of: Mapping[str, _Range], ranges: Mapping[_Range, int]) -> DataFrame:
+    """One row a cut, with the range that it is looked for in."""
+    rows = [(i, ranges[of[name]], float(b.wanted), float(b.below)) for i, (name, b) in enumerate(bounds.items())]
+    return F.broadcast(spark.createDataFrame(rows, "cut int, range int, wanted double, below double"))
 
 
 def _narrowed(df: DataFrame, cuts: Mapping[str, Cut], bounds: Mapping[str, _Bounds]) -> dict[str, _Bounds]:
     """Each cut's bounds after a round: the step that its value lies in."""
-    steps = _between(df, cuts, bounds, True).groupBy("cut", "step").agg(
+    of = _ranges(cuts, bounds)
+    ranges = {r: i for i, r in enumerate(dict.fromkeys(of.values()))}
+    steps = _between(df, ranges, True).groupBy("range", "step").agg(
         F.sum("w").alias("w"), F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")
     )
-    upto = Window.partitionBy("cut").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # BUCKETS rows at most
-    summed = steps.withColumn("upto", F.sum("w").over(upto)).join(_goals(df.sparkSession, bounds), "cut").where(F.col("below") + F.col("upto") >= F.col("wanted"))
+    upto = Window.partitionBy("range").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # BUCKETS rows at most
+    summed = steps.withColumn("upto", F.sum("w").over(upto)).join(_goals(df.sparkSession, bounds, of, ranges), "range").where(F.col("below") + F.col("upto") >= F.col("wanted"))
     first = summed.groupBy("cut").agg(F.min(F.struct("step", "low", "high", "rows", (F.col("below") + F.col("upto") - F.col("w")).alias("under"))).alias("s"))
     names = list(bounds)
     found = {names[r["cut"]]: r["s"] for r in first.collect()}  # one row a cut
@@ -124,15 +169,17 @@ def _narrowed(df: DataFrame, cuts: Mapping[str, Cut], bounds: Mapping[str, _Boun
 def _finished(df: DataFrame, cuts: Mapping[str, Cut], bounds: Mapping[str, _Bounds]) -> dict[str, object]:
     from casewright.operators.ordering import with_running_totals
 
-    values = _between(df, cuts, bounds, False).groupBy("cut", "v").agg(F.sum("w").alias("w"))
+    of = _ranges(cuts, bounds)
+    ranges = {r: i for i, r in enumerate(dict.fromkeys(of.values()))}
+    values = _between(df, ranges, False).groupBy("range", "v").agg(F.sum("w").alias("w"))
     if max(b.rows for b in bounds.values()) <= FINISH:
-        running = Window.partitionBy("cut").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        running = Window.partitionBy("range").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         summed = values.withColumn("upto", F.sum("w").over(running))
     else:
-        summed = with_running_totals(values, ["cut", "v"], {"_all": "w"})
-        begin = summed.groupBy("cut").agg(F.min(F.col("_all") - F.col("w")).alias("_begin"))  # one row a cut
-        summed = summed.join(F.broadcast(begin), "cut").withColumn("upto", F.col("_all") - F.col("_begin"))
-    passed = summed.join(_goals(df.sparkSession, bounds), "cut").where(F.col("below") + F.col("upto") >= F.col("wanted"))
+        summed = with_running_totals(values, ["range", "v"], {"_all": "w"})
+        begin = summed.groupBy("range").agg(F.min(F.col("_all") - F.col("w")).alias("_begin"))  # one row a range
+        summed = summed.join(F.broadcast(begin), "range").withColumn("upto", F.col("_all") - F.col("_begin"))
+    passed = summed.join(_goals(df.sparkSession, bounds, of, ranges), "range").where(F.col("below") + F.col("upto") >= F.col("wanted"))
     names = list(bounds)
     return {names[r["cut"]]: r["v"] for r in passed.groupBy("cut").agg(F.min("v").alias("v")).collect()}
 
@@ -142,7 +189,7 @@ def select_cuts(df: DataFrame, cuts: Mapping[str, Cut], reread: bool = False) ->
 
     NULL values, and rows with a weight that is NULL or not above 0, do not count; NaN is the largest value. Whole-number weights give
     the same result however the rows are dealt. ``df`` is read in one pass, which stores the columns that the cuts need;
-    with ``reread`` (for a stored table) it is read for each round instead. Only bounds, a few numbers a cut, reach the driver.
+    with ``reread`` (for a stored table) its columns are read for each round instead. Only bounds, a few numbers a cut, reach the driver.
     """
     if not cuts:
         return {}
@@ -156,12 +203,12 @@ def select_cuts(df: DataFrame, cuts: Mapping[str, Cut], reread: bool = False) ->
         large = {name: b for name, b in bounds.items() if b.rows > FINISH}
         if not large:
             break
-        for kind in sorted({kinds[name] for name in large}):
-            bounds |= _narrowed(rows, cuts, {name: b for name, b in large.items() if kinds[name] == kind})
+        for part in _passes(cuts, large, kinds):
+            bounds |= _narrowed(rows, cuts, part)
         out |= {name: b.low for name, b in bounds.items() if b.low == b.high}
         bounds = {name: b for name, b in bounds.items() if name not in out}
-    for kind in sorted({kinds[name] for name in bounds}):
-        out |= _finished(rows, cuts, {name: b for name, b in bounds.items() if kinds[name] == kind})
+    for part in _passes(cuts, bounds, kinds):
+        out |= _finished(rows, cuts, part)
     return {name: out.get(name) for name in cuts}
 
 

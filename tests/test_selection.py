@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from casewright.operators import selection
 from casewright.operators.selection import Cut, select_cuts
@@ -55,3 +56,26 @@ def test_cuts_without_rows(spark):
     assert select_cuts(df, {"a": Cut("x", 0.5), "b": Cut("w", 0.5, "w")}) == {"a": None, "b": 1}
     assert select_cuts(df.limit(0), {"a": Cut("x", 0.5)}) == {"a": None}
     assert select_cuts(df, {}) == {}
+
+
+def test_a_pass_counts_each_value_once_and_reads_few_columns(spark, monkeypatch):
+    """Five cuts of nine columns: a row is not repeated for each cut, and no pass holds all columns."""
+    monkeypatch.setattr(selection, "FINISH", 20)
+    monkeypatch.setattr(selection, "BUCKETS", 64)
+    names = [f"c{i}" for i in range(9)]
+    df = spark.range(400).select(*[((F.col("id") * (2 * i + 7)) % 401).cast("double").alias(c) for i, c in enumerate(names)])
+    passes = []
+    between = selection._between
+
+    def seen(rows, *args):
+        out = between(rows, *args)
+        passes.append(out.count())
+        return out
+
+    monkeypatch.setattr(selection, "_between", seen)
+    fractions = [0.01, 0.25, 0.5, 0.75, 0.99]
+    got = select_cuts(df, {f"{c} {q}": Cut(c, q) for c in names for q in fractions})
+    for c in names:
+        values = sorted(r[0] for r in df.select(c).collect())
+        assert [got[f"{c} {q}"] for q in fractions] == [values[math.ceil(q * len(values)) - 1] for q in fractions]
+    assert passes and max(passes) <= 400 * 4
