@@ -136,7 +136,20 @@ def fitting_interventions(
     Thresholds are cut at the distinct levels: an entity's rows are those of all levels up to its own, so both sides meet on the level.
     """
     rows = catalog.select(F.col("financial_stress_level").alias("_level"), F.col("risk_score_threshold").alias("_from"), "intervention_type", "success_rate")
+    rows = measured(rows)  # a small catalogue is sent to the entities; they are not gathered by their few levels
     levels = rows.select("_level").where("_level IS NOT NULL").distinct().agg(F.sort_array(F.collect_list("_level")).alias("l")).scalar()
     mine = entities.select(key, F.col(risk).alias("_risk"), F.col(stress).alias("_stress"), levels.alias("_levels"))
     mine = mine.select(key, "_risk", F.explode(F.filter("_levels", lambda x: x <= F.col("_stress") + stress_slack)).alias("_level"))
     return mine.join(rows, "_level").where(F.col("_from") <= F.col("_risk") + F.lit(risk_slack)).select(key, "intervention_type", "success_rate")
+
+
+def intervention_reach(
+    entities: DataFrame, catalog: DataFrame, risk: str, stress: str, risk_slack: float = 0.15, stress_slack: int = 1
+) -> DataFrame:
+    """(intervention_type, entities): how many entities each intervention fits; interventions that fit none are left out.
+
+    Entities with equal risk and stress fit the same interventions, so they are counted before they meet the catalogue.
+    """
+    alike = entities.groupBy(F.col(risk).alias("_risk_of"), F.col(stress).alias("_stress_of")).agg(F.count(F.lit(1)).alias("_entities"))
+    fits = fitting_interventions(alike, catalog, "_entities", "_risk_of", "_stress_of", risk_slack, stress_slack)
+    return fits.groupBy("intervention_type").agg(F.sum("_entities").alias("entities"))

@@ -175,8 +175,7 @@ SELECT c.intervention_type, c.category, count(entity_id) AS entities
 FROM catalog c LEFT JOIN fit f ON f.intervention_type = c.intervention_type GROUP BY 1, 2""")
 def catalog_reach(spark, sf_dir):
     catalog = intervention_catalog(spark)
-    fits = joins.fitting_interventions(scored_rows(spark, sf_dir), catalog, "entity_id", "risk_score", "financial_stress_index")
-    reach = fits.groupBy("intervention_type").agg(F.count("*").alias("entities"))
+    reach = joins.intervention_reach(scored_rows(spark, sf_dir), catalog, "risk_score", "financial_stress_index")
     return joins.left_join_default(catalog.select("intervention_type", "category"), reach, "intervention_type", {"entities": 0})
 
 

@@ -73,3 +73,14 @@ def test_top_rows_of_any_number(spark, n):
     want = sorted((r for r in rows if r[1] is not None), key=lambda r: (-r[1], r[0]))[:n]
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reach_counts_equal_entities_once_and_does_not_gather_them_by_level(spark):
+    entities = spark.createDataFrame([(i, (i % 7) / 10, i % 3) for i in range(500)] + [(500, None, 1), (501, 0.5, None)], "entity_id bigint, risk double, stress int")
+    table = spark.createDataFrame([("a", 0.9, 1, 0.3), ("b", 0.8, 2, 0.5), ("c", 0.7, 9, 0.1), ("d", 0.6, None, 0.0)], "intervention_type string, success_rate double, financial_stress_level int, risk_score_threshold double")
+    fits = joins.fitting_interventions(entities, table, "entity_id", "risk", "stress")
+    want = {r["intervention_type"]: r["n"] for r in fits.groupBy("intervention_type").count().withColumnRenamed("count", "n").collect()}
+    reach = joins.intervention_reach(entities, table, "risk", "stress")
+    assert {r["intervention_type"]: r["entities"] for r in reach.collect()} == want and set(want) == {"a", "b"}
+    plan = fits._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
