@@ -205,9 +205,10 @@ PROTECTED = ["gender", "age"]
 
 def prepared(spark, sf_dir):
     rows = entity_table(spark, sf_dir).withColumn("actual", F.when(F.col("target") == "Dropout", 1).otherwise(0))
-    split = staged(learning.stratified_split(rows, "actual", "entity_id"))
+    # The split and the weights only attach a few cuts to stored rows; the features alone are written.
+    split = learning.stratified_split(rows, "actual", "entity_id")
     parts = staged(feature_table(split, SUBJECT, fit_on=split.where(F.col("is_test") == 0)))
-    train = staged(learning.class_weights(parts.where(F.col("is_test") == 0), "actual"))
+    train = learning.class_weights(parts.where(F.col("is_test") == 0), "actual")
     columns = learning.ml_columns(parts, CATEGORIES, OUTSIDE_MODEL, PROTECTED)
     return parts, train, columns, learning.build_preprocessor(train, columns)
 
