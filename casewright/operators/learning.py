@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from casewright.operators.joins import null_safe_lookup
 from casewright.operators.ordering import with_global_rank
 from casewright.operators.selection import Cut, select_cuts
+from casewright.session import staged
 
 # Training settings.
 SEED = 42
@@ -148,6 +149,18 @@ def class_weights(df: DataFrame, label: str, name: str = "class_weight") -> Data
     return null_safe_lookup(df, weights, [label])
 
 
+def _fit_last(train: DataFrame, stages: list, estimator, label: str, weight: str) -> PipelineModel:
+    """The stages fitted on ``train``, then ``estimator`` on its vectors, dealt evenly over all cores.
+
+    A stored table comes back in as many tasks as it has files of a certain size, whatever a row of it costs; an estimator reads its rows
+    many times and would leave the other cores idle. The vectors are worked out once and stored in as many files as there are cores.
+    """
+    fitted = Pipeline(stages=stages).fit(train)
+    vectors = fitted.transform(train).select("features", label, weight)
+    dealt = staged(vectors.repartition(train.sparkSession.sparkContext.defaultParallelism))
+    return PipelineModel([*fitted.stages, estimator.fit(dealt)])
+
+
 def fit_lr(
     train: DataFrame, stages: list, label: str, weight: str = "class_weight", max_iter: int = LOGISTIC_ITERATIONS
 ) -> PipelineModel:
@@ -156,7 +169,7 @@ def fit_lr(
         featuresCol="features", labelCol=label, weightCol=weight, maxIter=max_iter,
         regParam=1.0 / max(train.count(), 1), standardization=False,
     )
-    return Pipeline(stages=[*stages, lr]).fit(train)
+    return _fit_last(train, stages, lr, label, weight)
 
 
 def fit_rf(
@@ -167,7 +180,7 @@ def fit_rf(
         featuresCol="features", labelCol=label, weightCol=weight, numTrees=trees, maxDepth=depth,
         minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed,
     )
-    return Pipeline(stages=[*stages, forest]).fit(train)
+    return _fit_last(train, stages, forest, label, weight)
 
 
 def score(

@@ -372,3 +372,14 @@ def test_catalog_round_trip(spark):
     assert catalog.empty(spark, "a int, b string").count() == 0
     queue = spark.createDataFrame([(1,), (1,), (2,)], "entity_id bigint")
     assert catalog.default_assignments(queue, "entity_id", {"counselor_name": "c"}, "cw_test.none").count() == 2
+
+
+def test_an_estimator_gets_its_rows_over_all_cores(spark, monkeypatch):
+    rows = spark.range(0, 400, 1, 1).select((F.col("id") % 2).cast("double").alias("y"), (F.col("id") % 7 + F.col("id") % 2 * 9).cast("double").alias("a"), F.lit(1.0).alias("class_weight"))
+    parts = []
+    fit = learning.LogisticRegression._fit
+    monkeypatch.setattr(learning.LogisticRegression, "_fit", lambda self, df: parts.append(df.rdd.getNumPartitions()) or fit(self, df))
+    columns = learning.ModelColumns(["a"], [])
+    model = learning.fit_lr(rows, learning.build_preprocessor(rows, columns), "y")
+    assert parts == [spark.sparkContext.defaultParallelism]
+    assert all(r["predicted"] == r["y"] for r in learning.score(model, rows).collect())
