@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.llm import bins
@@ -40,8 +40,12 @@ BROADCAST_ROWS = 1_000_000
 STAR_ROUNDS = 6
 #: Bits of a node's sketch.
 SKETCH = 512
-#: Pairs per posting up to which all remaining pairs between components are compared at once, and pivots of a token after the first round.
+#: Pairs per posting up to which all remaining pairs between components are compared at once, and pivots of a token in the second round.
 SETTLE = 8
+#: Members of a component that a pivot of another one is compared with for each token and round, before the last.
+MEMBERS = 16
+#: Nodes whose prefixes are cut at once.
+CUT_NODES = 2_000
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -131,24 +135,37 @@ def _distinct_entries(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np
 
 
 def _shared_counts(sets: DataFrame) -> DataFrame:
-    """(node, shared): how many of a node's tokens another node has too."""
+    """(node, shared): how many of a node's tokens another node has too; one row for each node.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A node has tokens in most bins, so what the bins count goes on packed, one row from each bin of tokens to each bin of nodes.
+    """
+    count = bins.bin_count(sets.sparkSession)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners, _, df = _distinct_entries(batches)
         nodes, shared = np.unique(owners[df > 1], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(shared.astype(np.int64))], names=["node", "shared"])
+        if len(nodes):
+            yield bins.packed(nodes, shared.astype(np.int64), np.zeros(len(nodes), np.int32), count, by_owner=True)
 
-    return _in_bins(sets).mapInArrow(run, "node bigint, shared bigint").groupBy("node").agg(F.sum("shared").alias("shared"))
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, shared, _ = bins.entries(batches)
+        nodes, place = np.unique(owners, return_inverse=True)
+        total = np.zeros(len(nodes), np.int64)
+        np.add.at(total, place, shared)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(total)], names=["node", "shared"])
+
+    return bins.dealt(_in_bins(sets).mapInArrow(counted, bins.SCHEMA)).mapInArrow(summed, "node bigint, shared bigint")
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """(node, n, s, p1, p2, p3): prefixes under three orders by frequency, without tokens that no other node has.
+    """(node, n, s, k, p1, p2, p3): prefixes under three orders by frequency, without tokens that no other node has.
 
     ``s`` counts the tokens that another node has: a bound for what the node has in common with any. ``k`` is a sketch of these
     tokens, one of ``SKETCH`` bits for each: a bit that another node's sketch does not have is a token that it does not have.
 
     Tokens of one node only are the rarest, so they come first in each order and use up the prefix.
-    The frequencies go back to the nodes packed too, one row from each bin of tokens to each bin of nodes.
+    The frequencies go back to the nodes packed too, one row from each bin of tokens to each bin of nodes. The sizes of the sets
+    go with them, as entries of frequency zero, so that what a node has gathered need not be shuffled again to learn its size.
     """
     count = bins.bin_count(sets.sparkSession)
 
@@ -160,21 +177,28 @@ def _prefixes(sets: DataFrame) -> DataFrame:
         if len(order):
             yield bins.packed(owners[order], tokens[order], df[order].astype(np.int32), count, by_owner=True)
 
-    def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owners, tokens, df = bins.entries(batches)
-        order = np.argsort(owners, kind="stable")
-        nodes, counts = np.unique(owners, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), lists(tokens[order], counts, pa.int64()), lists(df[order], counts, pa.int32())], names=["node", "t", "f"])
+    def sizes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n = batch.column("n").to_numpy()
+                yield bins.packed(batch.column("node").to_numpy(), n, np.zeros(len(n), np.int32), count, by_owner=True)
 
-    found = bins.dealt(_in_bins(sets).mapInArrow(frequencies, bins.SCHEMA))
-    gathered = found.mapInArrow(by_node, "node bigint, t array<bigint>, f array<int>")
-    gathered = gathered.join(sets.select("node", "n"), "node")
+    found = _in_bins(sets).mapInArrow(frequencies, bins.SCHEMA)
+    found = bins.dealt(found.union(sets.select("node", "n").mapInArrow(sizes_of, bins.SCHEMA)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, counts = flat(batch.column("t"))
-            df = flat(batch.column("f"))[0]
-            n = batch.column("n").to_numpy()
+        owners, every, df = bins.entries(batches)
+        # A node's size, then its tokens.
+        order = np.lexsort((df, owners))
+        owners, every, df = owners[order], every[order], df[order]
+        first = np.flatnonzero(df == 0)
+        ends = np.append(first[1:], len(owners))
+        for low in range(0, len(first), CUT_NODES):
+            use = slice(low, low + CUT_NODES)
+            nodes, n, counts = owners[first[use]], every[first[use]], ends[use] - first[use] - 1
+            here = slice(first[low], ends[min(low + CUT_NODES, len(first)) - 1])
+            token = df[here] > 0
+            tokens, f_all = every[here][token], df[here][token]
             bound = np.concatenate(([0], np.cumsum(counts)))
             out: list[list[np.ndarray]] = [[], [], []]
             used, sketches = [], np.zeros((len(n), SKETCH // 64), np.uint64)
@@ -182,7 +206,7 @@ def _prefixes(sets: DataFrame) -> DataFrame:
             owner = np.repeat(np.arange(len(n)), counts)
             np.bitwise_or.at(sketches, (owner, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
             for i, size in enumerate(n):
-                t, f = tokens[bound[i] : bound[i + 1]], df[bound[i] : bound[i + 1]]
+                t, f = tokens[bound[i] : bound[i + 1]], f_all[bound[i] : bound[i + 1]]
                 room = size - (3 * size + 3) // 4 + 1 - (size - len(t))
                 used.append(max(0, room))
                 if room > 0:
@@ -190,42 +214,62 @@ def _prefixes(sets: DataFrame) -> DataFrame:
                     for k, ranks in enumerate(((t, f), (_signed(mixed(u)), np.log2(f).astype(int)), (_signed(mixed(~u)), np.log2(f).astype(int)))):
                         out[k].append(t[np.lexsort(ranks)[:room]])
             if sum(used):
-                keep = pa.array(np.array(used) > 0)
+                keep = np.array(used) > 0
                 sizes = np.array([u for u in used if u > 0])
                 sizes = np.minimum(sizes, [len(x) for x in out[0]])
                 columns = [lists(np.concatenate(o), sizes, pa.int64()) for o in out]
-                own = [batch.column("node").filter(keep), batch.column("n").filter(keep), pa.array(counts.astype(np.int64)).filter(keep)]
-                mine = sketches[np.array(used) > 0]
+                own = [pa.array(x[keep].astype(np.int64)) for x in (nodes, n, counts)]
+                mine = sketches[keep]
                 own.append(lists(_signed(mine.ravel()), np.full(len(mine), SKETCH // 64), pa.int64()))
                 yield pa.RecordBatch.from_arrays([*own, *columns], names=["node", "n", "s", "k", "p1", "p2", "p3"])
 
-    return gathered.select("node", "n", "t", "f").mapInArrow(cut, "node bigint, n bigint, s bigint, k array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
+    return found.mapInArrow(cut, "node bigint, n bigint, s bigint, k array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>")
+
 
+def _may_link(n: str, s: str, k: str, r: str, other_n: str, other_s: str, other_k: str, other_r: str) -> Column:
+    """A link needs 7 * common >= 3 * (n + other n); what is common is among the shared tokens of both, without those whose bit the other lacks.
 
-def _may_link(n: str, s: str, k: str, other_n: str, other_s: str, other_k: str) -> Column:
-    """A link needs 7 * common >= 3 * (n + other n); what is common is among the shared tokens of both, without those whose bit the other lacks."""
+    At the first prefix token that two nodes have in common, all that is common is from there on, among the ``r`` last tokens of both.
+    So a pair that fails by ``r`` at some other common token is not lost: it does not fail at the first one, if it is a link.
+    """
     lacking = lambda one, two: F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda a, b: a + b)
     enough = lambda common: 7 * common >= 3 * (F.col(n) + F.col(other_n))
     sketched = F.least(F.col(s) - lacking(k, other_k), F.col(other_s) - lacking(other_k, k))
-    return F.when(enough(F.least(n, s, other_n, other_s)), enough(sketched)).otherwise(F.lit(False))
+    return F.when(enough(F.least(r, other_r)), enough(sketched)).otherwise(F.lit(False))
+
+
+def _with_both(pairs: DataFrame, nodes: DataFrame, *cols: str) -> DataFrame:
+    """Pairs (a, b) with columns of both nodes; nodes that are in no pair are not shuffled, while the pairs are few enough to tell."""
+    side = lambda name: nodes.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in cols])
+    if pairs.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return pairs.join(side("a"), "a").join(side("b"), "b")
+    used = F.broadcast(pairs.select("b").distinct())
+    return side("a").join(F.broadcast(pairs), "a").join(side("b").join(used, "b", "left_semi"), "b")
 
 
 def _links(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame) -> DataFrame:
     """Of candidate pairs (a, b), those that pass the other orders and then the comparison of the sets."""
-    side = lambda df, name, *cols: df.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in cols])
-    near = pairs.join(side(prefixes, "a", "p2", "p3"), "a").join(side(prefixes, "b", "p2", "p3"), "b")
+    near = _with_both(staged(pairs), prefixes, "p2", "p3")
     near = near.where(F.arrays_overlap("a_p2", "b_p2") & F.arrays_overlap("a_p3", "b_p3")).select("a", "b")
-    full = staged(near).join(side(sets, "a", "n", "tokens"), "a").join(side(sets, "b", "n", "tokens"), "b")
+    full = _with_both(staged(near), sets, "n", "tokens")
     # 100 * common >= 75 * union, where union = n_a + n_b - common.
     return full.where(7 * F.size(F.array_intersect("a_tokens", "b_tokens")) >= 3 * (F.col("a_n") + F.col("b_n"))).select("a", "b")
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
-    """(node, n, s, k, token): who has which prefix token. Of tokens that the same nodes have, one stands for all."""
-    every = staged(prefixes.select("node", "n", "s", "k", F.explode("p1").alias("token")))
+    """(node, n, s, k, r, token): who has which prefix token, and how many of its tokens are not before it in the first order by frequency.
+
+    Entries with too small an ``r`` for even the smallest set with that token are left out. Of tokens that the same nodes still have,
+    the first in that order stands for all: in the set of each of them it has the largest ``r``.
+    """
+    every = prefixes.select("node", "n", "s", "k", F.posexplode("p1").alias("at", "token"))
+    every = every.select("node", "n", "s", "k", (F.col("s") - F.col("at")).alias("r"), "token")
+    for _ in range(2):  # the smallest set may itself be left out the first time
+        least = every.groupBy("token").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
+        every = staged(every.join(least, "token").where("7 * r >= 3 * (n + least)").select(*every.columns))
     mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "node") % (1 << 40))
-    owners = every.groupBy("token").agg(F.count(F.lit(1)).alias("k"), mark(1).alias("one"), mark(2).alias("two")).where("k > 1")
-    kept = staged(owners.groupBy("k", "one", "two").agg(F.min("token").alias("token")).select("token"))
+    owners = every.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.sum("r").alias("r"), mark(1).alias("one"), mark(2).alias("two")).where("k > 1")
+    kept = staged(owners.groupBy("k", "one", "two").agg(F.max_by("token", "r").alias("token")).select("token"))
     return staged(every.join(kept, "token"))
 
 
@@ -258,18 +302,23 @@ def _linked(sets: DataFrame) -> DataFrame:
         if not entries:
             break
         rest = now.join(top.select("token", "top"), "token")
-        renamed = {"node": "a", "component": "ca", "n": "an", "s": "as", "k": "ak"}
+        renamed = {"node": "a", "component": "ca", "n": "an", "s": "as", "k": "ak", "r": "ar"}
         strays = rest.where("component <> top").select("token", *[F.col(c).alias(new) for c, new in renamed.items()])
-        possible = _may_link("n", "s", "k", "an", "as", "ak")
+        possible = _may_link("n", "s", "k", "r", "an", "as", "ak", "ar")
         last = cost <= SETTLE * entries or turn == STAR_ROUNDS - 1
         if last:
-            pairs = strays.join(rest.select("token", "node", "component", "n", "s", "k"), "token").where((F.col("ca") != F.col("component")) & possible)
+            pairs = strays.join(rest.select("token", "node", "component", "n", "s", "k", "r"), "token").where((F.col("ca") != F.col("component")) & possible)
         else:
-            # Pivots for each token, among those outside its largest component: one that joins most of a group, then several.
-            # Each is the first in an order of all nodes, so tokens of one group mostly have the same ones.
-            seeds = range(1) if turn == 0 else range(turn * SETTLE, (turn + 1) * SETTLE)
-            firsts = [F.min_by(F.struct("a", "ca", "an", "as", "ak"), F.xxhash64("a", F.lit(seed))) for seed in seeds]
-            pivot = staged(strays.groupBy("token").agg(F.array_distinct(F.array(*firsts)).alias("p"))).select("token", F.inline("p"))
+            # Pivots for each token, one from each of some components outside its largest: first one that joins most of a group, then
+            # several, twice as many each time. They are the first in an order of all nodes, so tokens of one group mostly have the same ones.
+            most = 1 if turn == 0 else SETTLE << (turn - 1)
+            each = strays.groupBy("token", "ca").agg(F.min_by(F.struct("a", "an", "as", "ak", "ar"), F.xxhash64("a", F.lit(turn))).alias("p"))
+            place = F.row_number().over(Window.partitionBy("token").orderBy(F.xxhash64("ca", F.lit(turn)), "ca"))
+            pivot = staged(each.withColumn("place", place).where(F.col("place") <= most).select("token", "ca", "p.*"))
+            if labels is not None:
+                # One link is enough to join a pivot to a component, so it meets some of its members, others for each token and round.
+                place = F.row_number().over(Window.partitionBy("token", "component").orderBy(F.xxhash64("node", "token", F.lit(turn)), "node"))
+                rest = rest.withColumn("place", place).where(F.col("place") <= MEMBERS).drop("place")
             pairs = rest.join(pivot, "token").where((F.col("component") != F.col("ca")) & possible)
         labels = _joined(labels, staged(_links(ordered(pairs.select("a", F.col("node").alias("b"))), prefixes, sets)))
         if last:

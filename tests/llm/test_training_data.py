@@ -98,6 +98,36 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == brute_components(texts)
 
 
+def test_near_duplicates_compare_few_pairs_of_a_large_group(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    pool = [f"v{i}" for i in range(3000)]
+    base, texts = list(rng.choice(pool, 100)), []
+    for _ in range(160):  # copies with a word changed here and there: some are linked, most are not
+        near = list(base)
+        for i in rng.integers(len(near), size=rng.integers(1, 6)):
+            near[i] = rng.choice(pool)
+        texts.append(" ".join(near))
+    compared, real = [], jaccard._links
+
+    def links(pairs, prefixes, sets):
+        compared.append(pairs.count())
+        return real(pairs, prefixes, sets)
+
+    monkeypatch.setattr(jaccard, "_links", links)
+    got = sorted(tuple(r) for r in jaccard.near_duplicates(table(spark, texts)).collect())
+    assert got == brute_components(texts)
+    assert sum(compared) < 4 * len(texts)
+
+
+def test_shared_tokens_are_counted_in_one_row_for_each_node(spark):
+    sets = spark.createDataFrame([(i, list(range(i * 10**17, i * 10**17 + 9 * 10**17, 10**16))) for i in range(6)], "node bigint, tokens array<bigint>")
+    counts = jaccard._shared_counts(sets)
+    assert "HashAggregate" not in counts._jdf.queryExecution().executedPlan().toString()
+    tokens = {r["node"]: set(r["tokens"]) for r in sets.collect()}
+    want = {i: len(t & set().union(*(o for j, o in tokens.items() if j != i))) for i, t in tokens.items()}
+    assert {r["node"]: r["shared"] for r in counts.collect()} == want and counts.count() == len(want)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [tuple(r) for r in jaccard.near_duplicates(odd(spark)).collect()]
     assert len(rows) == 11 and (3, 12, 3) in rows and (4, 12, 3) in rows and (0, 0, 0) in rows and (None, 13, None) in rows
