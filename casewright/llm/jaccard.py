@@ -37,10 +37,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = 5
 #: Ids of documents to read again are broadcast up to this many rows; beyond it Spark shuffles both sides.
 BROADCAST_ROWS = 1_000_000
-STAR_ROUNDS = 6
+STAR_ROUNDS = 4
 #: Bits of a node's sketch.
 SKETCH = 512
-#: Pairs per posting up to which all remaining pairs between components are compared at once, and pivots of a token in the second round.
+#: Pairs per posting up to which all remaining pairs between components are compared at once. Pivots of a token are four times as many in the second round, and again in each later one.
 SETTLE = 8
 #: Members of a component that a pivot of another one is compared with for each token and round, before the last.
 MEMBERS = 16
@@ -310,8 +310,8 @@ def _linked(sets: DataFrame) -> DataFrame:
             pairs = strays.join(rest.select("token", "node", "component", "n", "s", "k", "r"), "token").where((F.col("ca") != F.col("component")) & possible)
         else:
             # Pivots for each token, one from each of some components outside its largest: first one that joins most of a group, then
-            # several, twice as many each time. They are the first in an order of all nodes, so tokens of one group mostly have the same ones.
-            most = 1 if turn == 0 else SETTLE << (turn - 1)
+            # several, four times as many each time. They are the first in an order of all nodes, so tokens of one group mostly have the same ones.
+            most = 1 if turn == 0 else SETTLE << 2 * turn
             each = strays.groupBy("token", "ca").agg(F.min_by(F.struct("a", "an", "as", "ak", "ar"), F.xxhash64("a", F.lit(turn))).alias("p"))
             place = F.row_number().over(Window.partitionBy("token").orderBy(F.xxhash64("ca", F.lit(turn)), "ca"))
             pivot = staged(each.withColumn("place", place).where(F.col("place") <= most).select("token", "ca", "p.*"))
