@@ -17,7 +17,7 @@ from pyspark import cloudpickle
 # Workers need not have this package installed: functions that run in tasks are shipped by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE = 2_000_000
+SLICE = 500_000
 _ODD = 0x9E3779B97F4A7C15
 #: Span hashes are polynomials over the whole numbers modulo this prime, at two points.
 _PRIME = (1 << 31) - 1

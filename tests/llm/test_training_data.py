@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -128,6 +129,18 @@ def test_shared_tokens_are_counted_in_one_row_for_each_node(spark):
     assert {r["node"]: r["shared"] for r in counts.collect()} == want and counts.count() == len(want)
 
 
+def test_memory_of_a_task_is_bounded_by_slices():
+    texts = [" ".join(f"w{i * j % 9973}" for j in range(400)) for i in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    text._POWERS.clear()
+    tracemalloc.start()
+    for _, body, offsets in text.slices(batch, "text"):
+        assert all(len(values) for values in jaccard.shingle_sets(body, offsets))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6, peak
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [tuple(r) for r in jaccard.near_duplicates(odd(spark)).collect()]
     assert len(rows) == 11 and (3, 12, 3) in rows and (4, 12, 3) in rows and (0, 0, 0) in rows and (None, 13, None) in rows
